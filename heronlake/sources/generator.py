@@ -1,0 +1,20 @@
+"""Test messages of random-looking digits, from any table or stream with a numeric id."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def digit_messages(df: DataFrame, id_col: str, words: int = 20) -> DataFrame:
+    """Adds `value`: `words` digits joined by blanks, a fixed arithmetic hash of the id."""
+    digits = F.transform(
+        F.sequence(F.lit(0), F.lit(words - 1)),
+        lambda j: F.pmod(F.pmod(F.col(id_col) * 7919 + j * 104729, F.lit(1000003)), F.lit(10)).cast("string"))
+    return df.withColumn("value", F.array_join(digits, " "))
+
+
+def digit_stream(spark: SparkSession, per_second: int, words: int = 20) -> DataFrame:
+    """A stream of `per_second` messages a second."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    return digit_messages(rate.withColumnRenamed("value", "id"), "id", words)

@@ -6,6 +6,7 @@ import datetime as dt
 import glob
 import math
 import os
+import time
 
 import duckdb
 
@@ -45,21 +46,27 @@ def family(kind: str) -> str:
             "timestamp": "timestamp", "boolean": "boolean", "hugeint": "hugeint"}.get(kind, kind)
 
 
-def differences(df, con, sql: str) -> str:
-    """'' when names, types and rows agree, else what does not."""
+def differences(df, con, sql: str) -> tuple[str, int, float]:
+    """('ok' or what does not agree in names, types and rows; row count; seconds of the SQL)."""
+    start = time.time()
     result = con.execute(sql)
     want_names = [d[0] for d in result.description]
     want_types = {d[0]: family(str(d[1])) for d in result.description}
-    names, want = _rows(want_names, result.fetchall())
+    fetched = result.fetchall()
+    seconds = time.time() - start
+    names, want = _rows(want_names, fetched)
     got_types = {f.name: family(f.dataType.simpleString()) for f in df.schema}
     got_names, got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    verdict = "ok"
     if names != got_names:
-        return f"columns {got_names} != {names}"
-    if got_types != want_types:
-        return f"types {got_types} != {want_types}"
-    if len(got) != len(want):
-        return f"rows {len(got)} != {len(want)}"
-    for g, w in zip(got, want):
-        if g != w:
-            return f"row {g} != {w}"
-    return ""
+        verdict = f"columns {got_names} != {names}"
+    elif got_types != want_types:
+        verdict = f"types {got_types} != {want_types}"
+    elif len(got) != len(want):
+        verdict = f"rows {len(got)} != {len(want)}"
+    else:
+        for g, w in zip(got, want):
+            if g != w:
+                verdict = f"row {g} != {w}"
+                break
+    return verdict, len(want), seconds
