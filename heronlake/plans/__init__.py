@@ -1,3 +1,3 @@
 """Registered jobs, one module per family."""
 
-from heronlake.plans import logs, relational, text  # noqa: F401
+from heronlake.plans import logs, relational, streams, text  # noqa: F401

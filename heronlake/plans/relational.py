@@ -140,12 +140,11 @@ def cache_snapshot(spark, sf_dir):
     """A cached table keeps its snapshot while the files grow; a new read sees all rows."""
     path = fresh_dir(spark, "snapshot")
     rows = people(spark, sf_dir)
-    rows.write.parquet(path)
+    rows.write.parquet(f"{path}/load=1")
     with cached(spark.read.parquet(path)) as snapshot:
         snapshot.count()
-        rows.write.mode("append").parquet(path)
+        rows.write.parquet(f"{path}/load=2")
         kept = snapshot.count()
-    spark.catalog.refreshByPath(path)
     return spark.read.parquet(path).agg(F.lit(kept).cast("bigint").alias("cached_rows"), F.count(F.lit(1)).alias("fresh_rows"))
 
 

@@ -94,9 +94,10 @@ def inline_rows(spark, sf_dir):
             .select("word", "score", "n"))
 
 
-@job("char_bigrams", """SELECT substr(text, i, 2) AS bigram, count(*) AS n
-    FROM (SELECT text, unnest(range(1, greatest(length(text), 2))) AS i FROM documents WHERE length(text) > 0)
-    GROUP BY bigram""")
+@job("char_bigrams", """WITH chars AS (SELECT string_split(text, '') AS c FROM documents WHERE text <> ''),
+    grams AS (SELECT c[i] || coalesce(c[i + 1], '') AS bigram
+      FROM (SELECT c, unnest(range(1, greatest(len(c), 2))) AS i FROM chars))
+    SELECT bigram, count(*) AS n FROM grams GROUP BY bigram""")
 def char_bigrams(spark, sf_dir):
     grams = table(spark, sf_dir, "documents").select(F.explode(char_ngrams(F.col("text"))).alias("bigram"))
     return grams.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
