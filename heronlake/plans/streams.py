@@ -347,10 +347,12 @@ def stream_late_dropped(spark, sf_dir):
     size = rows.agg(F.max("event_id")).scalar() + 1
     arrivals = rows.withColumn(
         "arrival", F.when(F.col("event_id") % 50 == 0, F.col("event_id") + size).otherwise(F.col("event_id")))
-    # four slices: on time first and second half, then the late rows of each half
-    edges = arrivals.unionByName(rows.agg(F.max("event_id").alias("event_id")).select(
+    # four slices: on time first and second half, then the late rows of each half; two empty
+    # rows at the ends of the range fix its borders
+    ends = rows.agg(F.max("event_id").alias("event_id")).select(
         "event_id", F.lit(None).cast("timestamp").alias("ts"), F.lit(None).cast("string").alias("event_type"),
-        (F.col("event_id") * 2 + 1).alias("arrival")))
+        F.explode(F.array(F.lit(0).cast("long"), F.col("event_id") * 2 + 1)).alias("arrival"))
+    edges = arrivals.unionByName(ends)
     stream = replay(spark, sf_dir, "late", edges, "arrival", slices=4).filter("ts is not null")
     counts = count_windows(stream, ["event_type"], "12 hours", watermark=LATE).drop("end")
     return as_ntz(read_latest(spark, to_table(counts, "update", "late"), ["start", "event_type"]))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -85,26 +87,30 @@ def fold_by_key(df: DataFrame, key: str, value: str, fold: Callable[[pd.Series,
         outputMode="Update", timeMode="None", initialState=start)
 
 
-def collect_until(df: DataFrame, target: int, path: str, checkpoint: str) -> int:
-    """Stores whole batches until at least `target` rows are there, then stops the stream.
+def collect_until(df: DataFrame, target: int, path: str, checkpoint: str,
+                  poll_seconds: float | None = None) -> int:
+    """Stores whole batches until at least `target` rows are there; gives the number stored.
 
-    What is stored decides, so the count survives a restart; batches that arrive between
-    reaching the target and the stop are not stored.
+    What is stored decides, so the count survives a restart. Batches after the one that
+    reaches the target are not stored. Without poll_seconds it also ends when the input does.
     """
     spark = df.sparkSession
-    reached = {"rows": 0}
+    store = batch_writer(path)
+
+    def stored(before: int | None = None) -> int:
+        try:
+            rows = spark.read.parquet(path)
+        except AnalysisException:  # nothing written yet
+            return 0
+        return (rows if before is None else rows.filter(F.col("batch_id") < before)).count()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch_id > 0:
-            reached["rows"] = spark.read.parquet(path).filter(F.col("batch_id") < batch_id).count()
-            if reached["rows"] >= target:
-                return
-        batch_writer(path)(batch, batch_id)
-        reached["rows"] = spark.read.parquet(path).count()
-
-    query = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-             .foreachBatch(write).trigger(availableNow=True).start())
-    while query.isActive and reached["rows"] < target:
-        query.awaitTermination(1)
-    query.stop()
-    return reached["rows"]
+        if stored(batch_id) < target:
+            store(batch, batch_id)
+
+    while True:
+        run_available(df, "append", checkpoint, write)
+        total = stored()
+        if total >= target or poll_seconds is None:
+            return total
+        time.sleep(poll_seconds)
