@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -70,3 +70,13 @@ def written_once(spark: SparkSession, source: str, name: str, write) -> str:
         write(path)
         _written[key] = path
     return _written[key]
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Writes df to the shared folder and reads it back: cuts the plan and the lineage.
+
+    For results that are used several times; a lost executor costs no recomputation of them.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,6 +29,7 @@ def count_per_record(df: DataFrame, key: str, order: Sequence[str], bucket: Colu
 
     def write(batch: DataFrame, batch_id: int) -> None:
         before = start if batch_id == 0 else spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
+        batch.persist()
         numbered = positions(batch, [key], order, bucket, max_rows)
         seen = before.select(F.col(key).alias("_key"), F.col("n").alias("_n"))
         rows = (numbered.join(seen, F.col(key).eqNullSafe(F.col("_key")), "left")
@@ -37,6 +38,7 @@ def count_per_record(df: DataFrame, key: str, order: Sequence[str], bucket: Colu
         counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
         total = before.unionByName(counts).groupBy(key).agg(F.sum("n").alias("n"))
         batch_writer(f"{path}/state")(total, batch_id)
+        batch.unpersist()
 
     run_available(df, "append", checkpoint, write)
 
