@@ -1,3 +1,3 @@
 """Registered jobs, one module per family."""
 
-from heronlake.plans import logs, reco, relational, streams, text, vectors  # noqa: F401
+from heronlake.plans import logs, ml, reco, relational, streams, text, vectors  # noqa: F401
