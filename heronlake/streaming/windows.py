@@ -38,21 +38,27 @@ def count_windows(df: DataFrame, keys: Sequence[str], length: str, slide: str |
 
 
 def panes(df: DataFrame, keys: Sequence[str], slide: str, ts: str = "ts", watermark: str | None = None,
-          aggs: Sequence[Column] | None = None) -> DataFrame:
-    """Tumbling windows of the slide length: each row is aggregated once, however many windows it is in."""
-    return count_windows(df, keys, slide, None, ts, watermark, aggs)
+          aggs: Sequence[Column] | None = None, chain: bool = False) -> DataFrame:
+    """Tumbling windows of the slide length: each row is aggregated once, however many windows it is in.
+
+    chain=True adds the time column `at`, which carries the watermark on, for slide_panes
+    within the same stream (append mode).
+    """
+    if not chain:
+        return count_windows(df, keys, slide, None, ts, watermark, aggs)
+    rows = df.withWatermark(ts, watermark) if watermark else df
+    grouped = rows.groupBy(F.window(ts, slide).alias("window"), *keys).agg(*(aggs or [F.count(F.lit(1)).alias("n")]))
+    return grouped.withColumn("at", F.window_time("window")).drop("window")
 
 
 def slide_panes(pane_rows: DataFrame, keys: Sequence[str], length: str, slide: str,
                 aggs: Sequence[Column] | None = None) -> DataFrame:
     """Sliding windows from panes; only panes fan out. aggs merge pane columns (default: sum of n)."""
-    check_slide(length, slide)
     if seconds(length) % seconds(slide):
+        check_slide(length, slide)
         raise ValueError("with panes the window length is a multiple of the slide")
-    aggs = aggs or [F.sum("n").alias("n")]
-    grouped = pane_rows.groupBy(F.window("start", length, slide).alias("window"), *keys).agg(*aggs)
-    rest = [c for c in grouped.columns if c != "window"]
-    return grouped.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *rest)
+    time = "at" if "at" in pane_rows.columns else "start"
+    return count_windows(pane_rows, keys, length, slide, time, aggs=aggs or [F.sum("n").alias("n")])
 
 
 def keep_zero(counts: DataFrame, keys: Sequence[str], length: str, slide: str) -> DataFrame:
