@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heronlake.functions.text import char_ngrams, java_split
+from heronlake.functions.vectors import dot
 
 
 def hash_split(df: DataFrame, id_col: str, percent: int) -> DataFrame:
@@ -87,6 +88,13 @@ def fit_kmeans(df: DataFrame, k: int, iterations: int = 20, seed: int = 1, featu
     return KMeans(k=k, maxIter=iterations, seed=seed, featuresCol=features).fit(df)
 
 
+def kmeans_cost(model, df: DataFrame, array_col: str) -> DataFrame:
+    """(wssse, n): the squared distances of all rows to their nearest centre, added up."""
+    centers = F.array(*[F.lit([float(x) for x in c]) for c in model.clusterCenters()])
+    gap = F.zip_with(F.col(array_col), F.get(centers, F.col("prediction")), lambda a, b: a - b)
+    return model.transform(df).agg(F.sum(dot(gap, gap)).alias("wssse"), F.count(F.lit(1)).alias("n"))
+
+
 def fit_pca(df: DataFrame, k: int = 2):
     return PCA(k=k, inputCol="features", outputCol="components").fit(df)
 

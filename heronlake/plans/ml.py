@@ -9,7 +9,6 @@ from pyspark.ml.feature import VectorAssembler, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from heronlake.functions.vectors import dot
 from heronlake.operators import metrics, ml
 from heronlake.operators.vectors import nearest_all
 from heronlake.plans import oracle as o
@@ -127,16 +126,14 @@ def ml_kmeans_assign(spark, sf_dir):
     return ml.fit_kmeans(rows, 2).transform(rows).select("id", "prediction")
 
 
-@job("ml_kmeans_wssse", "SELECT true AS same, count(*) AS n FROM embeddings")
+@job("ml_kmeans_wssse", "SELECT true AS improved, count(*) AS n FROM embeddings")
 def ml_kmeans_wssse(spark, sf_dir):
-    """The squared distances to the centres add up to the cost the trainer reports."""
+    """Squared distances to the final centres, against the cost the trainer saw before its last move."""
     rows = points(spark, sf_dir)
     model = ml.fit_kmeans(rows, 2)
-    centers = F.array(*[F.lit([float(x) for x in c]) for c in model.clusterCenters()])
-    gap = F.zip_with(F.col("v"), F.get(centers, F.col("prediction")), lambda a, b: a - b)
-    cost = model.transform(rows).agg(F.sum(dot(gap, gap)).alias("cost"), F.count(F.lit(1)).alias("n"))
-    total = float(model.summary.trainingCost)
-    return cost.select((F.abs(F.col("cost") - total) < 1e-6 * total).alias("same"), "n")
+    cost = ml.kmeans_cost(model, rows, "v")
+    limit = float(model.summary.trainingCost) * (1 + 1e-9)
+    return cost.select((F.col("wssse") <= limit).alias("improved"), "n")
 
 
 @job("ml_kmeans_centers_roundtrip", "SELECT CAST(2 AS BIGINT) AS centers, CAST(0 AS BIGINT) AS different, count(*) AS n FROM embeddings")
