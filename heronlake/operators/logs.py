@@ -14,10 +14,21 @@ TYPES = {"response_code": "int", "content_size": "bigint"}
 MODES = ("failfast", "dropmalformed", "permissive")
 
 
-def _split_line(value: Column) -> Column:
-    """One regex pass: the groups with line feeds between, then cut; a bad line stays one piece."""
+def _record(value: Column) -> Column:
+    """One row per line with the fields and `_bad`; for `inline`, so the regex runs once a line.
+
+    The groups are put on lines of their own and cut; a line that does not match stays whole.
+    """
     groups = "\n".join(f"${i}" for i in range(1, len(FIELDS) + 1))
-    return F.split(F.regexp_replace(value, "(?s)" + LINE + ".*", groups), "\n")
+    parts = F.split(F.regexp_replace(value, "(?s)" + LINE + ".*", groups), "\n")
+
+    def fields(p: Column) -> Column:
+        good = F.size(p) == len(FIELDS)
+        cells = {f: F.when(good, F.get(p, F.lit(i))).try_cast(TYPES.get(f, "string")) for i, f in enumerate(FIELDS)}
+        bad = cells["response_code"].isNull() | cells["content_size"].isNull()
+        return F.struct(*[c.alias(f) for f, c in cells.items()], bad.alias("_bad"))
+
+    return F.transform(F.array(parts), fields)
 
 
 def parse_access_log(df: DataFrame, mode: str = "dropmalformed", col: str = "value") -> DataFrame:
@@ -29,18 +40,14 @@ def parse_access_log(df: DataFrame, mode: str = "dropmalformed", col: str = "val
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
     keep = [c for c in df.columns if c != col]
-    parts = df.select(*keep, col, _split_line(F.col(col)).alias("_p"))
-    fields = {f: F.when(F.size("_p") == len(FIELDS), F.get("_p", i)).try_cast(TYPES.get(f, "string"))
-              for i, f in enumerate(FIELDS)}
-    bad = ((F.size("_p") != len(FIELDS)) | fields["response_code"].isNull()
-           | fields["content_size"].isNull())
-    out = [fields[f].alias(f) for f in FIELDS]
+    rows = df.select(*keep, col, F.inline(_record(F.col(col))))
     if mode == "permissive":
-        return parts.select(*keep, *out, F.when(bad, F.col(col)).alias("_corrupt"))
+        known = [F.when(~F.col("_bad"), F.col(f)).alias(f) for f in FIELDS]
+        return rows.select(*keep, *known, F.when(F.col("_bad"), F.col(col)).alias("_corrupt"))
     if mode == "failfast":
-        fail = F.when(bad, F.raise_error(F.concat(F.lit("Cannot parse log line: "), F.col(col))))
-        return parts.filter(fail.cast("string").isNull()).select(*keep, *out)
-    return parts.filter(~bad).select(*keep, *out)
+        fail = F.when(F.col("_bad"), F.raise_error(F.concat(F.lit("Cannot parse log line: "), F.col(col))))
+        return rows.filter(fail.cast("string").isNull()).select(*keep, *FIELDS)
+    return rows.filter(~F.col("_bad")).select(*keep, *FIELDS)
 
 
 def rejects(df: DataFrame, col: str = "value") -> DataFrame:

@@ -116,9 +116,8 @@ def bigram_features(df: DataFrame, col: str = "text", buckets: int = 1000) -> Da
 def bigram_cluster_stages(k: int, iterations: int = 10, buckets: int = 1000, seed: int = 1) -> Pipeline:
     """The text clusters as a pipeline that can be saved and applied to a stream."""
     grams = SQLTransformer(statement=(
-        "SELECT *, CASE WHEN length(text) = 0 THEN cast(array() AS array<string>) "
-        "WHEN length(text) = 1 THEN array(text) ELSE zip_with(slice(split(text, ''), 1, length(text) - 1), "
-        "slice(split(text, ''), 2, length(text) - 1), (a, b) -> concat(a, b)) END AS bigrams FROM __THIS__"))
+        "SELECT *, CASE WHEN length(text) = 1 THEN array(text) "
+        "ELSE regexp_extract_all(text, '(?s)(?=(..))', 1) END AS bigrams FROM __THIS__"))
     tf = HashingTF(numFeatures=buckets, inputCol="bigrams", outputCol="features")
     return Pipeline(stages=[grams, tf, KMeans(k=k, maxIter=iterations, seed=seed, predictionCol="cluster")])
 

@@ -16,7 +16,7 @@ from heronlake.plans import reco
 from heronlake.registry import job
 from heronlake.session import fresh_dir, written_once
 from heronlake.sources.files import read_lines
-from heronlake.sources.tables import doc_lines, sales, table, vectors
+from heronlake.sources.tables import doc_lines, documents, table, vectors
 from heronlake.streaming.replay import replay
 from heronlake.streaming.runner import read_batches, to_table
 
@@ -33,7 +33,7 @@ def split_points(spark, sf_dir, binary: bool = False):
 
 def labelled_text(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
 
 
 TEST_ROWS = "(vec_id * 7919 + 13) % 100 >= 60"
@@ -211,7 +211,7 @@ def ml_word2vec_synonyms(spark, sf_dir):
 @job("ml_doc_vectors")
 def ml_doc_vectors(spark, sf_dir):
     """A vector of three numbers for each document, the mean over its words."""
-    docs = ml.line_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    docs = ml.line_tokens(documents(spark, sf_dir).select("doc_id", "text"), "text")
     model = ml.fit_word2vec(docs, size=3, min_count=0, parts=max(1, docs.rdd.getNumPartitions()))
     return model.transform(docs).select("doc_id", vector_to_array("vector").alias("vector"))
 
@@ -219,19 +219,19 @@ def ml_doc_vectors(spark, sf_dir):
 @job("ml_bigram_tf", "SELECT doc_id, CAST(greatest(length(text) - 1, least(length(text), 1)) AS DOUBLE) AS bigrams FROM documents")
 def ml_bigram_tf(spark, sf_dir):
     """Hashed character pairs: the counts of a text add up to its number of pairs."""
-    rows = ml.bigram_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = ml.bigram_features(documents(spark, sf_dir).select("doc_id", "text"))
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x)
     return rows.select("doc_id", total.alias("bigrams"))
 
 
 def cluster_path(spark, sf_dir) -> str:
     return written_once(spark, sf_dir, "text-clusters", lambda path: ml.bigram_cluster_stages(100).fit(
-        table(spark, sf_dir, "documents").select("doc_id", "text")).write().overwrite().save(path))
+        documents(spark, sf_dir).select("doc_id", "text")).write().overwrite().save(path))
 
 
 def clustered(spark, sf_dir):
     model = PipelineModel.load(cluster_path(spark, sf_dir))
-    return model.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return model.transform(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 @job("ml_text_clusters")
@@ -251,7 +251,7 @@ def stream_cluster_filter(spark, sf_dir):
     """The stream scored with the saved model; the texts of the largest cluster are kept."""
     sizes = clustered(spark, sf_dir).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     wanted = sizes.orderBy(F.desc("n"), "cluster").first()["cluster"]
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     stream = PipelineModel.load(cluster_path(spark, sf_dir)).transform(replay(spark, sf_dir, "documents", docs, "doc_id"))
     kept = to_table(stream.filter(F.col("cluster") == wanted).select("doc_id", "cluster"), "append", "cluster")
     return read_batches(spark, kept).drop("batch_id")

@@ -381,10 +381,11 @@ def add_all(values, old):
 @job("stream_update_state", f"""WITH {o.MESSAGE_WORDS} SELECT word, count(*) +
       CASE WHEN word IN ('click', 'view') THEN 1 ELSE 0 END AS n FROM words GROUP BY word""")
 def stream_update_state(spark, sf_dir):
-    """A user's fold as keyed state with an initial value; keys are spread over eight salts."""
+    """A user's fold as keyed state with an initial value; a key is spread over all state partitions."""
+    salts = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
     ones = message_words(spark, sf_dir).withColumn("one", F.lit(1).cast("long"))
     start = spark.createDataFrame([("click", 1), ("view", 1)], "word string, one long")
-    totals = fold_by_key(ones, "word", "one", add_all, F.pmod("event_id", F.lit(8)), start)
+    totals = fold_by_key(ones, "word", "one", add_all, F.pmod("event_id", salts), start)
     parts = read_latest(spark, to_table(totals, "update", "fold"), ["key", "salt"])
     return parts.groupBy(F.col("key").alias("word")).agg(F.sum("total").alias("n"))
 

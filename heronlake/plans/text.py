@@ -10,7 +10,7 @@ from heronlake.plans import oracle as o
 from heronlake.registry import job
 from heronlake.session import fresh_dir, written_once
 from heronlake.sources.files import read_lines, write_lines
-from heronlake.sources.tables import blacklist, doc_lines, lexicon, status, table
+from heronlake.sources.tables import blacklist, doc_lines, documents, lexicon, status, table
 
 
 def words(spark, sf_dir):
@@ -99,7 +99,7 @@ def inline_rows(spark, sf_dir):
       FROM (SELECT c, unnest(range(1, greatest(len(c), 2))) AS i FROM chars))
     SELECT bigram, count(*) AS n FROM grams GROUP BY bigram""")
 def char_bigrams(spark, sf_dir):
-    grams = table(spark, sf_dir, "documents").select(F.explode(char_ngrams(F.col("text"))).alias("bigram"))
+    grams = documents(spark, sf_dir).select(F.explode(char_ngrams(F.col("text"))).alias("bigram"))
     return grams.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -110,7 +110,7 @@ NORMAL = """normal AS (SELECT doc_id, lang, array_to_string(
 
 @job("text_normalize", f"WITH {NORMAL} SELECT doc_id, text FROM normal")
 def text_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", normalize_text(F.col("text")).alias("text"))
+    return documents(spark, sf_dir).select("doc_id", normalize_text(F.col("text")).alias("text"))
 
 
 STOP_LIST = ", ".join(f"'{w}'" for w in ops.STOPWORDS)
@@ -121,7 +121,7 @@ STOP_LIST = ", ".join(f"'{w}'" for w in ops.STOPWORDS)
     SELECT lang, t[i] || ' ' || t[i + 1] AS phrase, count(*) AS n
     FROM (SELECT lang, t, unnest(range(1, len(t))) AS i FROM toks) GROUP BY ALL""")
 def text_phrases(spark, sf_dir):
-    found = ops.phrases(table(spark, sf_dir, "documents").select("lang", "text"), "text")
+    found = ops.phrases(documents(spark, sf_dir).select("lang", "text"), "text")
     return found.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("n"))
 
 

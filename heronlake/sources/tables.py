@@ -10,13 +10,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input in fewer pieces than there are cores is cut up before heavy work per row.
+
+    Inputs with enough pieces, as all large ones have, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def access_log(spark: SparkSession, sf_dir: str, malformed: bool = True) -> DataFrame:
     """Web-server log lines (event_id, ts, value); every 97th has a '-' size if malformed."""
     size = F.expr("cast(cast(round(value * 100) as bigint) as string)")
     if malformed:
         size = F.when(F.expr("event_id % 97 = 0"), "-").otherwise(size)
     code = F.expr("case event_type when 'error' then '500' when 'signup' then '201' else '200' end")
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(
@@ -29,9 +38,13 @@ def access_log(spark: SparkSession, sf_dir: str, malformed: bool = True) -> Data
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines (doc_id, line_no, value)."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
 
 

@@ -12,6 +12,7 @@ from heronlake.streaming.runner import open_stream
 
 SLICES = 3
 ROWS_PER_FILE = 5_000_000
+FEW_ROWS = 500
 
 
 def write_slices(df: DataFrame, order: str, path: str, slices: int = SLICES, files: int | None = None,
@@ -19,10 +20,12 @@ def write_slices(df: DataFrame, order: str, path: str, slices: int = SLICES, fil
     """Cuts df into equal ranges of the integer `order` column, written one after the other
     (or just the slices numbered in `only`).
 
-    Every slice has the same number of files, so that maxFilesPerTrigger makes it one batch.
+    Every slice has the same number of files, so that maxFilesPerTrigger makes it one batch:
+    enough to keep the cores busy, and none with more than ROWS_PER_FILE rows.
     """
     lo, hi, rows = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    files = files or max(1, ceil(rows / slices / ROWS_PER_FILE))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = files or max(1, ceil(rows / slices / ROWS_PER_FILE), min(cores, ceil(rows / slices / FEW_ROWS)))
     width = ceil((hi - lo + 1) / slices)
     for i in only or range(slices):
         part = df.filter((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
