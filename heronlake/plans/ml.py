@@ -16,7 +16,7 @@ from heronlake.plans import reco
 from heronlake.registry import job
 from heronlake.session import fresh_dir, written_once
 from heronlake.sources.files import read_lines
-from heronlake.sources.tables import doc_lines, documents, table, vectors
+from heronlake.sources.tables import doc_lines, documents, spread, table, vectors
 from heronlake.streaming.replay import replay
 from heronlake.streaming.runner import read_batches, to_table
 
@@ -93,7 +93,7 @@ def ml_param_override(spark, sf_dir):
     FROM lineitem, fit GROUP BY slope, intercept""")
 def ml_linreg_mse(spark, sf_dir):
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(
-        table(spark, sf_dir, "lineitem").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("label")))
+        spread(table(spark, sf_dir, "lineitem")).select("l_quantity", (F.col("l_extendedprice") / 1000).alias("label")))
     model = ml.fit_linear(rows, solver="normal")
     return metrics.regression_metrics(model.transform(rows)).select(
         F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
@@ -101,7 +101,7 @@ def ml_linreg_mse(spark, sf_dir):
 
 
 def sales_features(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", (F.col("l_extendedprice") / 1000).alias("label"))
     return VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(rows)
 
