@@ -166,7 +166,7 @@ def avg_age_sql(spark, sf_dir):
       ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 4) AS moving_avg FROM orders""")
 def moving_avg_spend(spark, sf_dir):
     averaged = moving_avg(spend(spark, sf_dir), ["name"], ["date", "order_id"], "amount",
-                          bucket=F.to_date("date"))
+                          bucket=F.struct("date", F.expr("order_id div 1000000")))
     return averaged.select("name", "order_id", "date", F.round("moving_avg", 4).alias("moving_avg"))
 
 

@@ -368,7 +368,7 @@ def stream_map_with_state(spark, sf_dir):
         "event_id", "ts", F.substring_index("value", " ", 1).alias("event_type"))
     start = spark.createDataFrame([("click", 1), ("view", 1)], "event_type string, n long")
     path = fresh_dir(spark, "per-record")
-    count_per_record(rows, "event_type", ["ts", "event_id"], F.date_trunc("minute", "ts"), path,
+    count_per_record(rows, "event_type", ["ts", "event_id"], F.date_trunc("second", "ts"), path,
                      fresh_dir(spark, "per-record-checkpoint"), initial=start)
     return read_batches(spark, f"{path}/rows").select("event_id", "event_type", "n")
 

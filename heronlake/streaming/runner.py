@@ -92,5 +92,4 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     """
     rows = read_batches(spark, path)
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from heronlake.session import settle
+
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -67,6 +69,7 @@ def keep_zero(counts: DataFrame, keys: Sequence[str], length: str, slide: str) -
     Each key's rows are followed by their gap up to the key's next window (the last one up to
     the last window of all), and only the missing windows are generated.
     """
+    counts = settle(counts.select("start", "end", *keys, "n"), "window-counts")
     step = F.expr(f"make_dt_interval(0, 0, 0, {seconds(slide)})")
     size = F.expr(f"make_dt_interval(0, 0, 0, {seconds(length)})")
     following = F.lead("start").over(Window.partitionBy(*keys).orderBy("start"))
@@ -77,7 +80,7 @@ def keep_zero(counts: DataFrame, keys: Sequence[str], length: str, slide: str) -
         .select(*keys, F.explode(F.sequence(F.col("start") + step, F.col("_next") - step, step)).alias("start"))
         .select("start", (F.col("start") + size).alias("end"), *keys, F.lit(0).cast("long").alias("n"))
     )
-    return counts.select("start", "end", *keys, "n").unionByName(zeros)
+    return counts.unionByName(zeros)
 
 
 def as_ntz(df: DataFrame) -> DataFrame:

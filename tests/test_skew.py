@@ -31,7 +31,8 @@ def by_key(data):
 @pytest.mark.parametrize("max_rows", ROUTES)
 def test_positions(rows, max_rows):
     data, df = rows
-    got = {r["id"]: r["pos"] for r in positions(df, ["key"], ["day", "id"], F.expr("day div 4"), max_rows).collect()}
+    pieces = F.struct("day", F.expr("id div 50"))
+    got = {r["id"]: r["pos"] for r in positions(df, ["key"], ["day", "id"], pieces, max_rows).collect()}
     assert got == {r[2]: i for group in by_key(data).values() for i, r in enumerate(group)}
 
 
