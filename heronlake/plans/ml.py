@@ -257,8 +257,8 @@ def stream_cluster_filter(spark, sf_dir):
     return read_batches(spark, kept).drop("batch_id")
 
 
-@job("ml_text_pipeline")
-def ml_text_pipeline(spark, sf_dir):
+@job("ml_text_classes")
+def ml_text_classes(spark, sf_dir):
     """Words to hashed counts to a classifier; the unfitted and the fitted pipeline are stored and loaded."""
     rows = ml.hash_split(labelled_text(spark, sf_dir), "doc_id", 60)
     plain, fitted = fresh_dir(spark, "stages"), fresh_dir(spark, "pipeline")

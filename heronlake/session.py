@@ -7,7 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Keyed state in RocksDB; a batch uploads its changes, not the whole state.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 # Folders already written by this driver: (application id, input, name) -> path.
 _written: dict[tuple[str, str, str], str] = {}
@@ -24,8 +29,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
+    for name, value in STATE_SETTINGS.items():
+        builder = builder.config(name, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -36,7 +42,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every job here relies on: UTC, RocksDB state, small local shuffles."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     master = spark.sparkContext.master
     if master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions", "200") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
