@@ -11,7 +11,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small input in fewer pieces than there are cores is cut up before heavy work per row.
+    """A small input in fewer pieces than there are cores is cut up before heavy work per row
+    (for light work the extra shuffle costs more than it gives).
 
     Inputs with enough pieces, as all large ones have, are left as they are.
     """
