@@ -69,7 +69,9 @@ def predict_model(model: ALSModel) -> Callable[[DataFrame], DataFrame]:
 
 
 def train_implicit(rows: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0,
-                   blocks: int = 10, seed: int = 11) -> ALSModel:
+                   blocks: int | None = None, seed: int = 11) -> ALSModel:
+    """Implicit alternating least squares; users and items are cut into `blocks` (default: by the cores)."""
+    blocks = blocks or min(200, max(10, rows.sparkSession.sparkContext.defaultParallelism))
     return ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="user",
                itemCol="item", ratingCol="rating", numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
                coldStartStrategy="drop").fit(rows)

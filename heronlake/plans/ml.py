@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from heronlake.operators import metrics, ml
 from heronlake.operators.vectors import nearest_all
-from heronlake.plans import oracle as o
 from heronlake.plans import reco
 from heronlake.registry import job
 from heronlake.session import fresh_dir, written_once

@@ -160,3 +160,19 @@ def test_digit_stream_schema(spark):
 
     stream = digit_stream(spark, 10, 5)
     assert stream.isStreaming and "value" in stream.columns
+
+
+def test_zero_rows_fill_the_gaps(spark):
+    from heronlake.streaming.windows import keep_zero
+
+    rows = spark.createDataFrame([("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 05:10:00"),
+                                  ("b", "2024-01-01 02:10:00")], "key string, ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+
+    def hours(keys):
+        filled = keep_zero(count_windows(rows, keys, "1 hour"), keys, "1 hour", "1 hour")
+        return sorted((*[r[k] for k in keys], r["start"].hour, r["n"]) for r in filled.collect())
+
+    assert hours([]) == [(0, 1), (1, 0), (2, 1), (3, 0), (4, 0), (5, 1)]
+    assert hours(["key"]) == [("a", 0, 1), ("a", 1, 0), ("a", 2, 0), ("a", 3, 0), ("a", 4, 0), ("a", 5, 1),
+                              ("b", 2, 1), ("b", 3, 0), ("b", 4, 0), ("b", 5, 0)]
