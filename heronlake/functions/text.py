@@ -25,10 +25,11 @@ def hashtags(text: Column, strip: bool = False) -> Column:
 def char_ngrams(text: Column) -> Column:
     """Sliding character pairs; one character gives itself, the empty string gives nothing.
 
-    One pass of a look-ahead over the text, linear in its length.
+    One pass over the text, linear in its length: each match captures two characters ahead and
+    moves on by one.
     """
     return F.when(F.length(text) == 1, F.array(text)).otherwise(
-        F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), 1))
+        F.regexp_extract_all(text, F.lit("(?s)(?=(..))."), 1))
 
 
 def normalize_text(text: Column) -> Column:

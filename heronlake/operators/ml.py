@@ -117,7 +117,7 @@ def bigram_cluster_stages(k: int, iterations: int = 10, buckets: int = 1000, see
     """The text clusters as a pipeline that can be saved and applied to a stream."""
     grams = SQLTransformer(statement=(
         "SELECT *, CASE WHEN length(text) = 1 THEN array(text) "
-        "ELSE regexp_extract_all(text, '(?s)(?=(..))', 1) END AS bigrams FROM __THIS__"))
+        "ELSE regexp_extract_all(text, '(?s)(?=(..)).', 1) END AS bigrams FROM __THIS__"))
     tf = HashingTF(numFeatures=buckets, inputCol="bigrams", outputCol="features")
     return Pipeline(stages=[grams, tf, KMeans(k=k, maxIter=iterations, seed=seed, predictionCol="cluster")])
 

@@ -108,7 +108,7 @@ def test_split_like_the_jvm(spark, texts):
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="abé 😀", max_size=6), min_size=1, max_size=40))
 def test_character_pairs(spark, texts):
-    df = spark.createDataFrame([(t,) for t in [*texts, "", "x", "xy"]], "t string")
+    df = spark.createDataFrame([(t,) for t in [*texts, "", "x", "xy", "😀", "😀a", "a😀😀b"]], "t string")
     for row in df.select("t", char_ngrams(F.col("t")).alias("g")).collect():
         t = row["t"]
         assert row["g"] == ([t] if len(t) == 1 else [t[i:i + 2] for i in range(len(t) - 1)])
