@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heronlake.llm import chat, lines, mixing
+from heronlake.llm import chat, langid, lines, lzprint, mixing, packing, topk, toxicity
 from heronlake.session import prepare
 from heronlake.sources.tables import table
 
@@ -29,11 +29,26 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def toxicity_scores(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_lz_fingerprint")
+def lz_fingerprints(spark, sf_dir):
+    return lzprint.edit_test(table(spark, sf_dir, "documents"))
+
+
 @query("op3_chat_formatting", chat.SQL)
 def chat_formatting(spark, sf_dir):
     return chat.read_back(chat.format_turns(chat.with_probe(spark, table(spark, sf_dir, "conversations"))))
 
 
+@query("op4_exact_topk", topk.SQL)
+def exact_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_source_mixing", mixing.SQL)
 def source_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -44,3 +59,13 @@ def source_mixing(spark, sf_dir):
 def line_dedup(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.dedup(documents).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query("op7_best_fit_packing")
+def best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
