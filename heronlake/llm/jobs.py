@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heronlake.llm import chat, langid, lines, lzprint, mixing, packing, topk, toxicity
+from heronlake.llm import chat, langid, lines, lzprint, mixing, packing, suffixes, topk, toxicity
 from heronlake.session import prepare
 from heronlake.sources.tables import table
 
@@ -69,3 +69,8 @@ def best_fit_packing(spark, sf_dir):
 @query("op9_language_id")
 def language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark, sf_dir):
+    return suffixes.dedup(table(spark, sf_dir, "documents"))
