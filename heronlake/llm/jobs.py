@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heronlake.llm import chat, langid, lines, lzprint, mixing, packing, suffixes, topk, toxicity
+from heronlake.llm import chat, jaccard, langid, lines, lzprint, mixing, packing, suffixes, topk, toxicity
 from heronlake.session import prepare
 from heronlake.sources.tables import table
 
@@ -57,8 +57,7 @@ def source_mixing(spark, sf_dir):
 
 @query("op6_line_dedup", lines.SQL)
 def line_dedup(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return lines.dedup(documents).select("doc_id", "n_lines", "n_removed", "text")
+    return lines.dedup(table(spark, sf_dir, "documents"))
 
 
 @query("op7_best_fit_packing")
@@ -66,6 +65,11 @@ def best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op8_ngram_jaccard")
+def ngram_jaccard(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 @query("op9_language_id")
 def language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
