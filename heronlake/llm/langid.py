@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heronlake.llm.common import crc_fold, groups, strings
 
@@ -39,6 +40,8 @@ class Settings:
     seed: int = 11
     folds: int = 4
     held_fold: int = 2
+    enough: int = 100
+    least_score: float = 0.1
 
 
 @dataclass
@@ -74,12 +77,13 @@ def letters(text: str) -> np.ndarray:
 
 
 def bundle(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(vectors of the texts, whether they hold a letter). Memory follows the distinct trigrams of the texts."""
+    """(vectors of the texts, their lengths in letters and single blanks, 0 without a letter). Memory follows the distinct
+    trigrams of the texts."""
     coded = [letters(t) for t in texts]
-    some = np.array([len(c) > 1 for c in coded], bool)  # a text without a letter is one blank
+    size_of = np.array([len(c) - 1 for c in coded], np.int64)  # a text without a letter is one blank
     out = np.zeros((len(texts), s.dimension), np.float32)
-    if not some.any():
-        return out, some
+    if not size_of.any():
+        return out, size_of
     alphabet, codes = np.unique(np.concatenate(coded), return_inverse=True)
     size = np.int64(len(alphabet))
     owner = np.repeat(np.arange(len(texts)), [len(c) for c in coded])
@@ -101,7 +105,7 @@ def bundle(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
         own = (gram >= part) & (gram < part + len(g)) if len(seen) > 16_384 else slice(None)
         counts = np.bincount(owner[own] * len(g) + gram[own] - part, minlength=len(texts) * len(g))
         out += counts.reshape(len(texts), len(g)).astype(np.float32) @ vectors
-    return out, some
+    return out, size_of
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -146,33 +150,48 @@ def fit(documents: DataFrame, s: Settings = Settings()) -> Profiles:
     return Profiles(names, mean, unit(raw - mean))
 
 
-def predict(documents: DataFrame, p: Profiles, s: Settings = Settings()) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document."""
-    names = p.names
+def with_language(documents: DataFrame, p: Profiles, s: Settings = Settings()) -> DataFrame:
+    """The documents with _lang, _score and _letters (letters and single blanks between them) added."""
+    names, at = p.names, documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), strings(batch.column(1))
-            if not texts:
-                continue
-            best, cosines = [], []
+            texts = strings(batch.column(at))
+            best, cosines, lengths = [], [], []
             for part in groups(texts, 1 << 19):
-                vectors, some = bundle(texts[part], s)
+                vectors, size = bundle(texts[part], s)
                 if names:
                     cos = unit(unit(vectors.astype(np.float64)) - p.mean) @ p.vectors.T
                     top = cos.argmax(axis=1)
                     value = np.clip(cos[np.arange(len(top)), top], 0, 1)
-                for i, ok in enumerate(some):
-                    known = bool(ok) and bool(names)
+                for i, n in enumerate(size.tolist()):
+                    known = n > 0 and bool(names)
                     best.append(names[top[i]] if known else "und")
                     cosines.append(float(value[i]) if known else 0.0)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(best, pa.string()), pa.array(cosines, pa.float64())],
-                                             ["doc_id", "lang_pred", "score"])
+                    lengths.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(best, pa.string()), pa.array(cosines, pa.float64()), pa.array(lengths, pa.int64())],
+                [*batch.schema.names, "_lang", "_score", "_letters"])
 
-    found = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, lang_pred string, score double")
-    return found.select("doc_id", (crc_fold("doc_id", s.folds) == s.held_fold).alias("held_out"), "lang_pred", "score")
+    schema = T.StructType([*documents.schema.fields, T.StructField("_lang", T.StringType()),
+                           T.StructField("_score", T.DoubleType()), T.StructField("_letters", T.LongType())])
+    return documents.mapInArrow(run, schema)
+
+
+def predict(documents: DataFrame, p: Profiles, s: Settings = Settings()) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document."""
+    found = with_language(documents.select(F.col("doc_id").cast("long"), "text"), p, s)
+    return found.select("doc_id", (crc_fold("doc_id", s.folds) == s.held_fold).alias("held_out"),
+                        F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
 
 
 def identify(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     return predict(documents, fit(documents, s), s)
+
+
+def known_language(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The documents without those of no known language: texts without a letter, and texts of at least `enough` letters that
+    are like no profile (score below least_score). Short texts are too noisy to be judged by score."""
+    found = with_language(documents, fit(documents, s), s)
+    unlike = (F.col("_letters") >= s.enough) & (F.col("_score") < s.least_score)
+    return found.filter((F.col("_lang") != "und") & ~unlike).drop("_lang", "_score", "_letters")

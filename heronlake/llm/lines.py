@@ -65,23 +65,29 @@ def removed_lines(rows: DataFrame, wide: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg(F.collect_set("line_no").alias("removed")))
 
 
-def dedup(documents: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
-    """The documents with boilerplate lines taken out of text; adds n_lines and n_removed."""
+def without_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
+    """The documents with boilerplate lines taken out of text; adds _n_lines and _n_removed."""
     rows = line_rows(documents)
     wide = settle(wide_lines(rows, min_sites, lg_k), "line-wide")
-    gone = removed_lines(rows, wide).select(F.col("doc_id").alias("_gone_id"), "removed")
+    gone = removed_lines(rows, wide).select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
     lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("removed"), i)), "\n")
-    columns = [c for c in documents.columns if c not in ("n_lines", "n_removed", "_gone_id", "removed")]
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     return (
-        documents.select(*columns).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left")
-        .withColumn("n_lines", F.coalesce(F.size(F.when(F.col("text").isNotNull(), lines)), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.when(F.col("text").isNull() | F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long"))
-        .withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
-        .select(*columns, "n_lines", "n_removed")
+        documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left")
+        .withColumn("_n_lines", F.coalesce(F.size(F.when(F.col("text").isNotNull(), lines)), F.lit(0)).cast("long"))
+        .withColumn("_n_removed", F.when(F.col("text").isNull() | F.col("_gone").isNull(), 0).otherwise(
+            F.size(F.array_intersect("_gone", F.sequence(F.lit(0), F.col("_n_lines").cast("int"))))).cast("long"))
+        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
+        .select(*documents.columns, "_n_lines", "_n_removed")
     )
 
 
+def dedup(documents: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
+    """doc_id, n_lines, n_removed and text without boilerplate lines of every document."""
+    cleaned = without_boilerplate(documents.select("doc_id", "source", "text"), min_sites, lg_k)
+    return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+
+
 SQL = """
 WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no

@@ -125,24 +125,19 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
 
 def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     """The documents of the mix: each as many times as it is taken, with the columns it came with."""
-    columns = documents.columns
-    keyed = settle(documents, "mix-documents").withColumn("_row", F.struct(*columns))
-    sizes = mix(keyed.select("doc_id", "source", "text"), **how)
-    # equal ids: rows with the same id, source and size are taken alike on average; pair them by their number
-    same = Window.partitionBy("_id", "_source", "_size")
-    kept = (keyed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), words(F.col("text")).alias("_size"), "_row")
-            .withColumn("_n", F.row_number().over(same.orderBy("_id"))))
-    counts = (sizes.filter("taken > 0")
-              .select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"),
-                      (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-              .withColumn("m_n", F.row_number().over(Window.partitionBy("m_id", "m_source", "m_size").orderBy(F.col("_copies").desc()))))
-    joined = kept.join(counts, F.col("_id").eqNullSafe(F.col("m_id")) & F.col("_source").eqNullSafe(F.col("m_source"))
-                       & (F.col("_size") == F.col("m_size")) & (F.col("_n") == F.col("m_n")))
-    return (joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select("_row.*"))
-
-
-#: {weights} is a list of whole numbers.
+    sizes = mix(documents, **how)
+    # rows with the same id, source and size share their copies out by number
+    copies = (sizes.filter("taken > 0").groupBy("doc_id", "source", "size")
+              .agg(F.sort_array(F.collect_list((F.col("taken") / F.col("size")).cast("int")), asc=False).alias("_copies"))
+              .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies"))
+    rows = documents.select(F.struct(*documents.columns).alias("_doc"), words(F.col("text")).alias("_words"))
+    joined = rows.join(copies, F.col("_doc.doc_id").eqNullSafe(F.col("_id")) & F.col("_doc.source").eqNullSafe(F.col("_source"))
+                       & (F.col("_words") == F.col("_size")))
+    number = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("_size"))
+    times = joined.withColumn("_times", F.get("_copies", number - 1)).filter("_times > 0")
+    return times.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_doc.*")
+
+
 SQL = """
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
