@@ -38,7 +38,9 @@ from heronlake.session import settle
 
 LENGTH = 50
 SEED = 25
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Contexts that are gathered at a time.
+PIECE = 16_384
 #: Blocks and seeds per block that the splitters are sampled from.
 SAMPLE_BLOCKS, SAMPLE_SEEDS = 64, 1_000
 BASE = 0x9E3779B97F4A7C15
@@ -83,6 +85,12 @@ def blocks(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, BLOCKS)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch one by one, so that only one block is copied at a time."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+
+
 class Block:
     """One unpacked block."""
 
@@ -166,7 +174,7 @@ def seed_rows(made: DataFrame, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 block = Block(row)
                 doc, _, seed = block.suffixes()
                 if not len(seed):
@@ -230,7 +238,7 @@ def copy_replies(made: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 ids, keys = np.frombuffer(row["ids"], np.int64).tolist(), row["keys"]
                 least: dict[bytes, int] = {}
                 most: dict[bytes, int] = {}
@@ -268,7 +276,7 @@ def sampled_splitters(made: DataFrame, parts: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 block = Block(row)
                 _, place, seed = block.suffixes()
                 place = place[np.argsort(seed, kind="stable")[:SAMPLE_SEEDS]]
@@ -292,7 +300,7 @@ def suffix_rows(joined: DataFrame, parts: int, splitters: np.ndarray) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 replies = {r["part"]: r["payload"] for r in row["replies"] or []}
                 firsts = first_ids(replies.pop(COPIES, b""))
                 if not replies:
@@ -312,7 +320,9 @@ def suffix_rows(joined: DataFrame, parts: int, splitters: np.ndarray) -> DataFra
                 if not len(doc):
                     continue
                 padded = np.concatenate([np.zeros(CONTEXT, np.uint8), block.body, np.zeros(LENGTH, np.uint8)])
-                context = padded[place[:, None] + np.arange(WIDTH)]
+                context = np.empty((len(place), WIDTH), np.uint8)
+                for i in range(0, len(place), PIECE):  # the places of all bytes at once would take eight times the bytes
+                    context[i:i + PIECE] = padded[place[i:i + PIECE, None] + np.arange(WIDTH)]
                 before = np.minimum(place - block.starts[doc], CONTEXT).astype(np.uint8)
                 after = np.minimum(block.ends[doc] - place, LENGTH).astype(np.uint8)
                 column = np.arange(WIDTH)
@@ -462,7 +472,7 @@ def kept(joined: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 block = Block(row)
                 replies = row["replies"] or []
                 found = [np.frombuffer(r["payload"], np.uint32).reshape(3, -1).astype(np.int64)
