@@ -16,14 +16,20 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heronlake.functions.text import char_ngrams, java_split
+from heronlake.functions.hashing import mixed, share_of
+from heronlake.functions.text import BIGRAM_SQL, char_ngrams, java_split
 from heronlake.functions.vectors import dot
 
 
-def hash_split(df: DataFrame, id_col: str, percent: int) -> DataFrame:
-    """Adds `part`: a fixed hash of the id sends `percent` of the rows to train, the rest to test."""
-    place = F.pmod(F.col(id_col) * 7919 + 13, F.lit(100))
-    return df.withColumn("part", F.when(place < percent, "train").otherwise("test"))
+def hash_split(df: DataFrame, id_col: str, share: float, seed: int = 0) -> DataFrame:
+    """Adds `part`: a seeded hash of the id sends `share` of the rows to train, the rest to test."""
+    return df.withColumn("part", F.when(share_of(mixed(F.col(id_col), seed), share), "train").otherwise("test"))
+
+
+def in_parts(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Rows in a fixed number of partitions and a fixed order, so that what a trainer does per partition (starting points,
+    averaged models) is the same on any cluster."""
+    return df.repartition(parts, key).sortWithinPartitions(key)
 
 
 def as_features(df: DataFrame, array_col: str) -> DataFrame:
@@ -48,11 +54,11 @@ def apply_svm(model, df: DataFrame) -> DataFrame:
 def fit_svm_l1(df: DataFrame, iterations: int = 200, reg: float = 0.1):
     """Support vector machine with an L1 penalty: only the older, gradient-based trainer has one."""
     from pyspark.mllib.classification import SVMWithSGD
-    from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.regression import LabeledPoint
+    from pyspark.mllib.util import MLUtils
 
-    rows = df.select("label", vector_to_array("features").alias("v")).rdd
-    points = rows.map(lambda r: LabeledPoint(r["label"], Vectors.dense(r["v"])))
+    old = MLUtils.convertVectorColumnsFromML(df.select("label", "features"), "features")
+    points = old.rdd.map(lambda r: LabeledPoint(r["label"], r["features"]))
     points.cache()
     try:
         return SVMWithSGD.train(points, iterations=iterations, regParam=reg, regType="l1")
@@ -115,9 +121,7 @@ def bigram_features(df: DataFrame, col: str = "text", buckets: int = 1000) -> Da
 
 def bigram_cluster_stages(k: int, iterations: int = 10, buckets: int = 1000, seed: int = 1) -> Pipeline:
     """The text clusters as a pipeline that can be saved and applied to a stream."""
-    grams = SQLTransformer(statement=(
-        "SELECT *, CASE WHEN length(text) = 1 THEN array(text) "
-        "ELSE regexp_extract_all(text, '(?s)(?=(..)).', 1) END AS bigrams FROM __THIS__"))
+    grams = SQLTransformer(statement=f"SELECT *, {BIGRAM_SQL.format(text='text')} AS bigrams FROM __THIS__")
     tf = HashingTF(numFeatures=buckets, inputCol="bigrams", outputCol="features")
     return Pipeline(stages=[grams, tf, KMeans(k=k, maxIter=iterations, seed=seed, predictionCol="cluster")])
 
@@ -134,6 +138,7 @@ def line_tokens(lines: DataFrame, col: str = "value", out: str = "words") -> Dat
 
 def fit_word2vec(df: DataFrame, size: int = 100, min_count: int = 5, iterations: int = 1, parts: int = 1,
                  seed: int = 1, words: str = "words"):
+    """The trainer averages `parts` models, so the vectors depend on it: an argument, never the cluster's size."""
     return Word2Vec(vectorSize=size, minCount=min_count, maxIter=iterations, numPartitions=parts, seed=seed,
                     inputCol=words, outputCol="vector").fit(df)
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heronlake.operators import metrics
-from heronlake.operators.ordering import MAX_ROWS, positions
+from heronlake.functions.hashing import mixed, share_of
+from heronlake.operators.ordering import positions
 from heronlake.operators.relational import left_default
 from heronlake.operators.vectors import similar_to
 from heronlake.session import settle
@@ -23,7 +24,8 @@ def artists(lines: DataFrame) -> DataFrame:
     rows = lines.filter(cut > 0).select(
         F.substring_index("value", "\t", 1).try_cast("int").alias("id"),
         F.trim(F.expr("substring(value, locate('\t', value) + 1)")).alias("name"))
-    return rows.filter(F.col("id").isNotNull() & (F.col("name") != ""))
+    # one entry per id, as in a map
+    return rows.filter(F.col("id").isNotNull() & (F.col("name") != "")).groupBy("id").agg(F.max("name").alias("name"))
 
 
 def aliases(lines: DataFrame) -> DataFrame:
@@ -42,10 +44,19 @@ def ratings(plays: DataFrame, alias_map: DataFrame, total: bool = False) -> Data
     return rows.groupBy("user", "item").agg(F.sum("rating").alias("rating")) if total else rows
 
 
-def split(rows: DataFrame, percent: int) -> DataFrame:
-    """Adds `part`: a fixed hash of the pair decides, so equal pairs fall on the same side."""
-    place = F.pmod(F.col("user").cast("long") * 7919 + F.col("item").cast("long") * 104729, F.lit(100))
-    return rows.withColumn("part", F.when(place < percent, "train").otherwise("valid"))
+def pair_hash(seed: int = 0, user: str = "user", item: str = "item"):
+    """A whole number for each (user, item)."""
+    return mixed(mixed(F.col(user), seed) + F.col(item), seed)
+
+
+def split(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
+    """Adds `part`: a seeded hash of the pair decides, so equal pairs fall on the same side."""
+    return rows.withColumn("part", F.when(share_of(pair_hash(seed), share), "train").otherwise("valid"))
+
+
+def sample(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
+    """The pairs that a seeded hash draws; share down to one in a million (0.0001 is one in ten thousand)."""
+    return rows.filter(share_of(pair_hash(seed), share))
 
 
 # --- predictors -------------------------------------------------------------------
@@ -69,9 +80,9 @@ def predict_model(model: ALSModel) -> Callable[[DataFrame], DataFrame]:
 
 
 def train_implicit(rows: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0,
-                   blocks: int | None = None, seed: int = 11) -> ALSModel:
-    """Implicit alternating least squares; users and items are cut into `blocks` (default: by the cores)."""
-    blocks = blocks or min(200, max(10, rows.sparkSession.sparkContext.defaultParallelism))
+                   blocks: int = 12, seed: int = 11) -> ALSModel:
+    """Implicit alternating least squares; users and items are cut into `blocks`. The starting factors depend on the
+    blocks, so their number is an argument (raise it with the data) and never comes from the cluster."""
     return ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="user",
                itemCol="item", ratingCol="rating", numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
                coldStartStrategy="drop").fit(rows)
@@ -79,29 +90,28 @@ def train_implicit(rows: DataFrame, rank: int = 10, iterations: int = 5, reg: fl
 
 # --- evaluation --------------------------------------------------------------------
 
-def index_items(items: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def index_items(items: DataFrame) -> DataFrame:
     """(item, idx) with idx 0, 1, 2 ... in item order; large catalogues are numbered in pieces."""
     rows = items.select("item").distinct().withColumn("_all", F.lit(0))
-    return positions(rows, ["_all"], ["item"], F.expr("item div 65536"), max_rows, out="idx").drop("_all")
+    return positions(rows, ["_all"], ["item"], F.expr("item div 65536"), out="idx").drop("_all")
 
 
-def negatives(positives: DataFrame, items: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(user, item): for each distinct positive of a user one item the user has not, by a fixed hash.
+def negatives(positives: DataFrame, items: DataFrame, seed: int = 1) -> DataFrame:
+    """(user, item): for each distinct positive of a user one item the user has not, by a seeded hash.
 
     Each positive draws a place in the item list; if the user has that item the next one the
     user has not is taken (past the end the list starts again). So a user gets as many negatives as
     positives, none only if the user has all items. Runs of owned items are found as groups of
     equal (place - rank); two copies of the list one after the other make the wrap-around plain.
     """
-    index = settle(index_items(items, max_rows), "item-index")
+    index = settle(index_items(items), "item-index")
     size = index.agg(F.count(F.lit(1))).scalar()
     owned = settle(positives.select("user", "item").distinct().join(index, "item").select("user", "idx"), "owned")
     twice = owned.select("user", F.explode(F.array(F.col("idx"), F.col("idx") + size)).alias("idx"))
-    ranked = positions(twice, ["user"], ["idx"], F.expr("idx div 65536"), max_rows, out="rank").select(
+    ranked = positions(twice, ["user"], ["idx"], F.expr("idx div 65536"), out="rank").select(
         "user", "idx", (F.col("idx") - F.col("rank")).alias("run"))
     runs = ranked.groupBy("user", "run").agg(F.min("idx").alias("first"), F.max("idx").alias("last"))
-    draws = owned.select("user", F.pmod(F.col("user").cast("long") * 7919 + F.col("idx") * 104729 + 12345,
-                                        size).alias("draw"))
+    draws = owned.select("user", F.pmod(pair_hash(seed, item="idx"), size).alias("draw"))
     hit = ranked.select(F.col("user").alias("_u"), F.col("idx").alias("_idx"), F.col("run").alias("_run"))
     held = draws.join(hit, (F.col("user") == F.col("_u")) & (F.col("draw") == F.col("_idx")), "left")
     free = held.filter(F.col("_run").isNull()).select("user", F.col("draw").alias("idx"))
@@ -111,19 +121,19 @@ def negatives(positives: DataFrame, items: DataFrame, max_rows: int = MAX_ROWS)
     return free.unionByName(moved).join(index, "idx").select("user", "item")
 
 
-def labelled_pairs(positives: DataFrame, items: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def labelled_pairs(positives: DataFrame, items: DataFrame) -> DataFrame:
     """(user, item, label): the held-out pairs (1) and as many the user does not have (0)."""
     wanted = positives.select("user", "item").withColumn("label", F.lit(1))
-    return wanted.unionByName(negatives(positives, items, max_rows).withColumn("label", F.lit(0)))
+    return wanted.unionByName(negatives(positives, items).withColumn("label", F.lit(0)))
 
 
-def user_aucs(pairs: DataFrame, predict: Callable[[DataFrame], DataFrame], max_rows: int = MAX_ROWS) -> DataFrame:
+def user_aucs(pairs: DataFrame, predict: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(user, auc): how often a held-out item scores strictly above one the user has not."""
-    return metrics.auc(predict(pairs), ["user"], "prediction", "label", ties=0.0, max_rows=max_rows)
+    return metrics.auc(predict(pairs), ["user"], "prediction", "label", ties=0.0)
 
 
-def mean_auc(pairs: DataFrame, predict: Callable[[DataFrame], DataFrame], max_rows: int = MAX_ROWS) -> DataFrame:
-    return user_aucs(pairs, predict, max_rows).agg(
+def mean_auc(pairs: DataFrame, predict: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return user_aucs(pairs, predict).agg(
         F.avg("auc").alias("auc"), F.count(F.lit(1)).alias("users"))
 
 

@@ -11,22 +11,26 @@ from pyspark.sql import functions as F
 
 from heronlake.operators import metrics, ml
 from heronlake.operators.vectors import nearest_all
+from heronlake.plans import oracle as o
 from heronlake.plans import reco
 from heronlake.registry import job
 from heronlake.session import fresh_dir, written_once
-from heronlake.sources.files import read_lines
-from heronlake.sources.tables import doc_lines, documents, table, vectors
+from heronlake.sources.tables import documents, table, vectors
 from heronlake.streaming.replay import replay
 from heronlake.streaming.runner import read_batches, to_table
 
 
+#: Models averaged by the word-vector trainer, and partitions of trainers that start from a sample per partition.
+TRAIN_PARTS = 4
+
+
 def points(spark, sf_dir, binary: bool = False):
     label = (F.col("label") % 2 if binary else F.col("label")).cast("double")
     return ml.as_features(vectors(spark, sf_dir), "v").withColumn("label", label)
 
 
 def split_points(spark, sf_dir, binary: bool = False):
-    rows = ml.hash_split(points(spark, sf_dir, binary), "id", 60)
+    rows = ml.hash_split(points(spark, sf_dir, binary), "id", 0.6)
     return rows.filter("part = 'train'"), rows.filter("part = 'test'")
 
 
@@ -35,13 +39,12 @@ def labelled_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
 
 
-TEST_ROWS = "(vec_id * 7919 + 13) % 100 >= 60"
+TEST_ROWS = f"{o.mixed('vec_id')} % 1000000 >= 600000"
 
 
-@job("ml_hash_split", """SELECT vec_id AS id, CASE WHEN (vec_id * 7919 + 13) % 100 < 60 THEN 'train' ELSE 'test' END AS part
-    FROM embeddings""")
+@job("ml_hash_split", f"SELECT vec_id AS id, CASE WHEN {TEST_ROWS} THEN 'test' ELSE 'train' END AS part FROM embeddings")
 def ml_hash_split(spark, sf_dir):
-    return ml.hash_split(vectors(spark, sf_dir).select("id"), "id", 60)
+    return ml.hash_split(vectors(spark, sf_dir).select("id"), "id", 0.6)
 
 
 # --- classification -------------------------------------------------------------------
@@ -119,20 +122,34 @@ def ml_elasticnet_residuals(spark, sf_dir):
 
 # --- clusters and components -----------------------------------------------------------------
 
-@job("ml_kmeans_assign")
+def apart(spark, sf_dir):
+    """Points in two groups set far apart by a first feature that tells even labels from odd ones."""
+    rows = vectors(spark, sf_dir).withColumn("v", F.concat(F.array((F.col("label") % 2 * 1000).cast("double")), F.col("v")))
+    return ml.as_features(rows, "v")
+
+
+def apart_model(spark, sf_dir):
+    return ml.fit_kmeans(ml.in_parts(apart(spark, sf_dir), "id", TRAIN_PARTS), 2)
+
+
+GROUPS = "SELECT vec_id AS id, label % 2 AS grp, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
+
+
+@job("ml_kmeans_assign", f"SELECT id, min(id) OVER (PARTITION BY grp) AS cluster FROM ({GROUPS})")
 def ml_kmeans_assign(spark, sf_dir):
-    rows = points(spark, sf_dir)
-    return ml.fit_kmeans(rows, 2).transform(rows).select("id", "prediction")
+    """Clusters named by their least member."""
+    found = apart_model(spark, sf_dir).transform(apart(spark, sf_dir)).select("id", "prediction")
+    names = found.groupBy("prediction").agg(F.min("id").alias("cluster"))
+    return found.join(names, "prediction").select("id", "cluster")
 
 
-@job("ml_kmeans_wssse", "SELECT true AS improved, count(*) AS n FROM embeddings")
+@job("ml_kmeans_wssse", f"""WITH x AS (SELECT grp, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM ({GROUPS})),
+    d AS (SELECT count(x) AS n, sum(x * x) - sum(x) * sum(x) / count(x) AS s FROM x GROUP BY grp, i)
+    SELECT round(sum(s), 4) AS wssse, (SELECT count(*) FROM embeddings) AS n FROM d""")
 def ml_kmeans_wssse(spark, sf_dir):
-    """Squared distances to the final centres, against the cost the trainer saw before its last move."""
-    rows = points(spark, sf_dir)
-    model = ml.fit_kmeans(rows, 2)
-    cost = ml.kmeans_cost(model, rows, "v")
-    limit = float(model.summary.trainingCost) * (1 + 1e-9)
-    return cost.select((F.col("wssse") <= limit).alias("improved"), "n")
+    """Squared distances to the centres, added up."""
+    cost = ml.kmeans_cost(apart_model(spark, sf_dir), apart(spark, sf_dir), "v")
+    return cost.select(F.round("wssse", 4).alias("wssse"), "n")
 
 
 @job("ml_kmeans_centers_roundtrip", "SELECT CAST(2 AS BIGINT) AS centers, CAST(0 AS BIGINT) AS different, count(*) AS n FROM embeddings")
@@ -147,35 +164,53 @@ def ml_kmeans_centers_roundtrip(spark, sf_dir):
                     F.count(F.lit(1)).alias("n"))
 
 
-@job("ml_pmml_clusters", "SELECT i AS cluster, max(len(embedding)) AS size FROM embeddings, range(0, 2) t(i) GROUP BY i")
+@job("ml_pmml_clusters", f"""SELECT CAST(min(id) AS BIGINT) AS first_member, max(len(v)) + 1 AS size,
+      round(avg(v[1]), 6) AS second_value FROM ({GROUPS}) GROUP BY grp""")
 def ml_pmml_clusters(spark, sf_dir):
-    """The exported model read back as text: one centre per cluster."""
+    """The exported model read back: each centre with the least id among the points nearest to it."""
     path = fresh_dir(spark, "pmml")
-    ml.fit_kmeans(points(spark, sf_dir), 2).write().format("pmml").save(path)
-    found = read_lines(spark, path).select(F.regexp_extract("value", r'<Cluster name="cluster_(\d+)">', 1).alias("c"),
-                                           F.regexp_extract("value", r'<Array n="(\d+)"', 1).alias("n"),
-                                           F.monotonically_increasing_id().alias("at"))
-    names = found.filter("c <> ''").select(F.col("c").cast("bigint").alias("cluster"), (F.col("at") + 1).alias("at"))
-    arrays = found.filter("n <> ''").select("at", F.col("n").cast("bigint").alias("size"))
-    return names.join(arrays, "at").select("cluster", "size")
-
-
-@job("ml_pca_project")
+    model = apart_model(spark, sf_dir)
+    model.write().format("pmml").save(path)
+    clusters = F.regexp_extract_all("value", F.lit(r'(?s)<Cluster name="cluster_(\d+)">.*?<Array[^>]*>([^<]*)</Array>'), 0)
+    found = spark.read.text(path, wholetext=True).select(F.explode(clusters).alias("c")).select(
+        F.regexp_extract("c", r"cluster_(\d+)", 1).cast("int").alias("prediction"),
+        F.transform(F.split(F.trim(F.regexp_extract("c", r"<Array[^>]*>([^<]*)<", 1)), r"\s+"), lambda x: x.cast("double")).alias("v"))
+    members = model.transform(apart(spark, sf_dir)).groupBy("prediction").agg(F.min("id").alias("first_member"))
+    return found.join(members, "prediction").select("first_member", F.size("v").cast("long").alias("size"),
+                                                    F.round(F.get("v", F.lit(1)), 6).alias("second_value"))
+
+
+@job("ml_pca_project", f"""WITH p AS (SELECT id, v[1] AS x, v[2] AS y FROM ({GROUPS})),
+    c AS (SELECT var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS c FROM p),
+    e AS (SELECT a, c, (a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c * c) AS l FROM c),
+    u AS (SELECT c / sqrt(c * c + (l - a) ** 2) AS ux, (l - a) / sqrt(c * c + (l - a) ** 2) AS uy FROM e)
+    SELECT id, round(abs(x * ux + y * uy), 6) AS c1, round(abs(y * ux - x * uy), 6) AS c2 FROM p, u""")
 def ml_pca_project(spark, sf_dir):
-    rows = points(spark, sf_dir)
+    """Projection of the first two columns on their components (not centred); the sign of a component is free."""
+    rows = ml.as_features(vectors(spark, sf_dir).withColumn("v", F.slice("v", 1, 2)), "v")
     shown = vector_to_array("components")
     return ml.fit_pca(rows, 2).transform(rows).select(
-        "id", F.get(shown, F.lit(0)).alias("c1"), F.get(shown, F.lit(1)).alias("c2"))
-
-
-@job("ml_chisq_select")
+        "id", F.round(F.abs(F.get(shown, F.lit(0))), 6).alias("c1"), F.round(F.abs(F.get(shown, F.lit(1))), 6).alias("c2"))
+
+
+@job("ml_chisq_select", f"""WITH x AS (SELECT id, label, unnest(range(0, len(v))) AS i, unnest(v) > 0 AS x
+      FROM (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+    cells AS (SELECT i, l.label, b.x, (SELECT count(*) FROM x WHERE x.i = f.i AND x.label = l.label AND x.x = b.x) AS n
+      FROM (SELECT DISTINCT i FROM x) f, (SELECT DISTINCT label FROM x) l, (VALUES (true), (false)) b(x)),
+    sums AS (SELECT *, sum(n) OVER (PARTITION BY i, label) * sum(n) OVER (PARTITION BY i, x)
+      / sum(n) OVER (PARTITION BY i) AS expected FROM cells),
+    best AS (SELECT i FROM sums GROUP BY i ORDER BY sum((n - expected) ** 2 / expected) DESC, i LIMIT 3)
+    SELECT id, array_to_string(list(CAST(x AS INTEGER) ORDER BY i), ',') AS selected,
+      array_to_string(list(i ORDER BY i), ',') AS features FROM x JOIN best USING (i) GROUP BY id""")
 def ml_chisq_select(spark, sf_dir):
-    """The three of 64 coarse features that depend most on the label."""
-    coarse = F.transform("v", lambda x: F.floor((x + 1) * 4).cast("double"))
-    rows = points(spark, sf_dir).withColumn("features", array_to_vector(coarse))
+    """The three of 64 signs that depend most on the label; equal degrees of freedom, so the statistic decides."""
+    signs = F.transform("v", lambda x: (x > 0).cast("double"))
+    rows = points(spark, sf_dir).withColumn("features", array_to_vector(signs))
     model = ml.fit_chi_square(rows, 3)
-    return model.transform(rows).select("id", vector_to_array("selected").alias("selected"),
-                                        F.lit([int(i) for i in model.selectedFeatures]).alias("features"))
+    selected = F.transform(vector_to_array("selected"), lambda x: x.cast("int").cast("string"))
+    return model.transform(rows).select(
+        "id", F.array_join(selected, ",").alias("selected"),
+        F.lit(",".join(str(i) for i in sorted(model.selectedFeatures))).alias("features"))
 
 
 @job("ml_vector_assemble", """SELECT vec_id AS id, len(embedding) + 2 AS size, CAST(label AS DOUBLE) AS first_value,
@@ -192,10 +227,9 @@ def ml_vector_assemble(spark, sf_dir):
 
 def word2vec_path(spark, sf_dir) -> str:
     def write(path):
-        rows = ml.line_tokens(doc_lines(spark, sf_dir))
-        # the trainer runs one task a partition: as many as the input has, models are averaged
-        parts = max(1, rows.rdd.getNumPartitions())
-        ml.fit_word2vec(rows, size=20, min_count=5, parts=parts).write().overwrite().save(path)
+        docs = ml.in_parts(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", TRAIN_PARTS)
+        rows = ml.line_tokens(docs.select(F.explode(F.split("text", "\n")).alias("value")))
+        ml.fit_word2vec(rows, size=20, min_count=5, parts=TRAIN_PARTS).write().overwrite().save(path)
 
     return written_once(spark, sf_dir, "word2vec", write)
 
@@ -210,8 +244,8 @@ def ml_word2vec_synonyms(spark, sf_dir):
 @job("ml_doc_vectors")
 def ml_doc_vectors(spark, sf_dir):
     """A vector of three numbers for each document, the mean over its words."""
-    docs = ml.line_tokens(documents(spark, sf_dir).select("doc_id", "text"), "text")
-    model = ml.fit_word2vec(docs, size=3, min_count=0, parts=max(1, docs.rdd.getNumPartitions()))
+    docs = ml.line_tokens(ml.in_parts(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", TRAIN_PARTS), "text")
+    model = ml.fit_word2vec(docs, size=3, min_count=0, parts=TRAIN_PARTS)
     return model.transform(docs).select("doc_id", vector_to_array("vector").alias("vector"))
 
 
@@ -225,7 +259,7 @@ def ml_bigram_tf(spark, sf_dir):
 
 def cluster_path(spark, sf_dir) -> str:
     return written_once(spark, sf_dir, "text-clusters", lambda path: ml.bigram_cluster_stages(100).fit(
-        documents(spark, sf_dir).select("doc_id", "text")).write().overwrite().save(path))
+        ml.in_parts(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", TRAIN_PARTS)).write().overwrite().save(path))
 
 
 def clustered(spark, sf_dir):
@@ -259,7 +293,7 @@ def stream_cluster_filter(spark, sf_dir):
 @job("ml_text_classes")
 def ml_text_classes(spark, sf_dir):
     """Words to hashed counts to a classifier; the unfitted and the fitted pipeline are stored and loaded."""
-    rows = ml.hash_split(labelled_text(spark, sf_dir), "doc_id", 60)
+    rows = ml.hash_split(labelled_text(spark, sf_dir), "doc_id", 0.6)
     plain, fitted = fresh_dir(spark, "stages"), fresh_dir(spark, "pipeline")
     ml.text_classifier().write().overwrite().save(plain)
     Pipeline.load(plain).fit(rows.filter("part = 'train'")).write().overwrite().save(fitted)

@@ -1,11 +1,21 @@
 """SQL pieces shared by the check queries."""
 
+from heronlake.functions.hashing import PRIME, ROUNDS
+from heronlake.operators.logs import LINE
+
+
+def mixed(value: str, seed: int = 0) -> str:
+    """SQL of functions.hashing.mixed."""
+    x = f"((({value})::BIGINT % {PRIME} + {PRIME}) % {PRIME})"
+    for a, b, c in ROUNDS:
+        x = f"list_transform([{x}], lambda x: ((x * x) % {PRIME} + x * {a} + {seed % PRIME * b + c}) % {PRIME})[1]"
+    return x
+
 LOG_VALUE = """concat('10.0.', CAST(user_id // 256 AS VARCHAR), '.', CAST(user_id % 256 AS VARCHAR),
     ' - u', CAST(user_id AS VARCHAR), ' [', strftime(ts, '%d/%b/%Y:%H:%M:%S'), ' +0000] "GET /', event_type, '/',
     CAST(event_id % 20 AS VARCHAR), ' HTTP/1.1" ',
     CASE event_type WHEN 'error' THEN '500' WHEN 'signup' THEN '201' ELSE '200' END, ' ', {size})"""
 SIZE = "CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)"
-LINE = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+) (\S+)" (\d{3}) (\d+)'
 
 RAW_LOG = ("raw_log AS (SELECT event_id, ts, "
            + LOG_VALUE.format(size=f"CASE WHEN event_id % 97 = 0 THEN '-' ELSE {SIZE} END")
@@ -33,7 +43,7 @@ def java_split(col: str) -> str:
 
 WORDS = f"{LINES}, words AS (SELECT doc_id, line_no, unnest({java_split('value')}) AS word FROM doc_lines)"
 
-PEOPLE = """people AS (SELECT concat('N', CAST(c_custkey % 50 AS VARCHAR)) AS name,
+PEOPLE = """people AS (SELECT concat('N', CAST(c_custkey // 10 AS VARCHAR)) AS name,
     CAST(floor(c_acctbal) AS INTEGER) % 100 AS age, c_custkey AS id FROM customer)"""
 SALES = """sales AS (SELECT o_orderkey AS txn, l_linenumber AS line, CAST(o_custkey AS VARCHAR) AS customer,
     CAST(l_partkey AS VARCHAR) AS item, l_extendedprice AS value
@@ -41,7 +51,7 @@ SALES = """sales AS (SELECT o_orderkey AS txn, l_linenumber AS line, CAST(o_cust
 PROJECTS = """projects AS (SELECT s_suppkey AS id, s_name AS name,
     concat('http://site', CAST(s_suppkey AS VARCHAR), '.',
       CASE s_nationkey % 3 WHEN 0 THEN 'org' WHEN 1 THEN 'com' ELSE 'net' END) AS website,
-    concat('N', CAST(s_suppkey % 50 AS VARCHAR)) AS manager FROM supplier)"""
+    concat('N', CAST(s_suppkey AS VARCHAR)) AS manager FROM supplier)"""
 PLAYS = """plays AS (SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(l_partkey AS INTEGER) AS item,
     CAST(floor(l_quantity) AS INTEGER) AS cnt FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 ARTIST_LINES = """artist_lines AS (SELECT

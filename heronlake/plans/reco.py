@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heronlake.operators import metrics
 from heronlake.operators import reco as ops
-from heronlake.operators.relational import left_default
+from heronlake.operators.relational import distinct_counts, left_default
 from heronlake.plans import oracle as o
 from heronlake.registry import job
 from heronlake.session import fresh_dir, settle, written_once
@@ -16,17 +16,21 @@ from heronlake.sources.tables import alias_lines, artist_lines, plays
 
 # --- SQL of the preparation ---------------------------------------------------------
 
-ARTISTS = f"""{o.ARTIST_LINES}, artists AS (SELECT id, name FROM (
+ARTISTS = f"""{o.ARTIST_LINES}, artists AS (SELECT id, max(name) AS name FROM (
     SELECT TRY_CAST(split_part(value, chr(9), 1) AS INTEGER) AS id,
            trim(substr(value, strpos(value, chr(9)) + 1)) AS name
-    FROM artist_lines WHERE strpos(value, chr(9)) > 0) WHERE id IS NOT NULL AND name <> '')"""
+    FROM artist_lines WHERE strpos(value, chr(9)) > 0) WHERE id IS NOT NULL AND name <> '' GROUP BY id)"""
 ALIASES = f"""{o.ALIAS_LINES}, aliases AS (SELECT TRY_CAST(split_part(value, chr(9), 1) AS INTEGER) AS bad_id,
     TRY_CAST(split_part(value, chr(9), 2) AS INTEGER) AS good_id FROM alias_lines
     WHERE TRY_CAST(split_part(value, chr(9), 1) AS INTEGER) IS NOT NULL)"""
 RATINGS = f"""{o.PLAYS}, {ALIASES}, ratings AS (SELECT "user", coalesce(good_id, item) AS item,
     CAST(cnt AS DOUBLE) AS rating FROM plays LEFT JOIN aliases ON item = bad_id)"""
-SPLIT = f"""{RATINGS}, parts AS (SELECT *, CASE WHEN (CAST("user" AS BIGINT) * 7919 + CAST(item AS BIGINT) * 104729)
-    % 100 < 90 THEN 'train' ELSE 'valid' END AS part FROM ratings),
+def pair_hash(item: str, seed: int) -> str:
+    return o.mixed(f"{o.mixed(chr(34) + 'user' + chr(34), seed)} + {item}", seed)
+
+
+SPLIT = f"""{RATINGS}, parts AS (SELECT *, CASE WHEN {pair_hash("item", 0)} % 1000000 < 900000 THEN 'train' ELSE 'valid' END
+    AS part FROM ratings),
   popular AS (SELECT item, sum(rating) AS score FROM parts WHERE part = 'train' GROUP BY item)"""
 NEGATIVES = f"""{SPLIT}, item_index AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS idx
     FROM (SELECT DISTINCT item FROM ratings)),
@@ -36,7 +40,7 @@ NEGATIVES = f"""{SPLIT}, item_index AS (SELECT item, row_number() OVER (ORDER BY
   ranked AS (SELECT "user", idx, idx - row_number() OVER (PARTITION BY "user" ORDER BY idx) AS run FROM twice),
   held AS (SELECT "user", idx, run, max(idx) OVER (PARTITION BY "user", run) AS last,
     min(idx) OVER (PARTITION BY "user", run) AS first FROM ranked),
-  draws AS (SELECT "user", (CAST("user" AS BIGINT) * 7919 + idx * 104729 + 12345) % size AS draw FROM owned, total),
+  draws AS (SELECT "user", {pair_hash("idx", 1)} % size AS draw FROM owned, total),
   drawn AS (SELECT d."user", CASE WHEN h.idx IS NULL THEN draw ELSE (last + 1) % size END AS idx
     FROM total, draws d LEFT JOIN held h ON h."user" = d."user" AND h.idx = d.draw
     WHERE h.idx IS NULL OR last - first + 1 < size),
@@ -66,7 +70,7 @@ def ratings(spark, sf_dir):
 
 
 def train_valid(spark, sf_dir):
-    parts = ops.split(ratings(spark, sf_dir), 90)
+    parts = ops.split(ratings(spark, sf_dir), 0.9)
     return parts.filter("part = 'train'").drop("part"), parts.filter("part = 'valid'").drop("part")
 
 
@@ -100,20 +104,23 @@ def reco_alias_names(spark, sf_dir):
         max({c}) AS max_value, min({c}) AS min_value, count(DISTINCT {c}) AS n_distinct FROM plays"""
     for c in ('"user"', "item", "cnt")).replace("'\"user\"'", "'user'"))
 def reco_explore(spark, sf_dir):
-    """Statistics of all three fields in one job."""
+    """Statistics of all three fields."""
     fields = ["user", "item", "cnt"]
     aggs = []
+    rows = play_rows(spark, sf_dir)
     for c in fields:
         aggs.append(F.struct(
             F.lit(c).alias("field"), F.count(c).alias("cnt"), F.round(F.avg(c), 6).alias("mean"),
-            F.round(F.stddev_pop(c), 6).alias("stdev"), F.max(c).alias("max_value"), F.min(c).alias("min_value"),
-            F.count_distinct(c).alias("n_distinct")))
-    return play_rows(spark, sf_dir).agg(F.array(*aggs).alias("rows")).select(F.inline("rows"))
+            F.round(F.stddev_pop(c), 6).alias("stdev"), F.max(c).alias("max_value"), F.min(c).alias("min_value")))
+    stats = rows.agg(F.array(*aggs).alias("rows")).select(F.inline("rows"))
+    return stats.join(distinct_counts(rows, fields).withColumnRenamed("column", "field"), "field")
 
 
 @job("distinct_items", f"WITH {o.PLAYS} SELECT count(DISTINCT item) AS n_items, count(DISTINCT \"user\") AS n_users FROM plays")
 def distinct_items(spark, sf_dir):
-    return plays(spark, sf_dir).agg(F.count_distinct("item").alias("n_items"), F.count_distinct("user").alias("n_users"))
+    counts = distinct_counts(play_rows(spark, sf_dir), ["item", "user"])
+    pick = lambda c: F.max(F.when(F.col("column") == c, F.col("n_distinct")))
+    return counts.agg(pick("item").alias("n_items"), pick("user").alias("n_users"))
 
 
 @job("reco_ratings", f'WITH {RATINGS} SELECT "user", item, rating FROM ratings')
@@ -123,7 +130,13 @@ def reco_ratings(spark, sf_dir):
 
 @job("reco_split", f'WITH {SPLIT} SELECT "user", item, rating, part FROM parts')
 def reco_split(spark, sf_dir):
-    return ops.split(ratings(spark, sf_dir), 90)
+    return ops.split(ratings(spark, sf_dir), 0.9)
+
+
+@job("reco_sample", f'WITH {RATINGS} SELECT "user", item, rating FROM ratings WHERE {pair_hash("item", 5)} % 1000000 < 100')
+def reco_sample(spark, sf_dir):
+    """One pair in ten thousand."""
+    return ops.sample(ratings(spark, sf_dir), 0.0001, seed=5)
 
 
 @job("reco_names_of_items", f"WITH {ARTISTS}, {RATINGS} SELECT id, name FROM artists WHERE id IN (SELECT item FROM ratings)")
@@ -219,14 +232,24 @@ def model_of(spark, sf_dir) -> ALSModel:
     return ALSModel.load(written_once(spark, sf_dir, "als", write))
 
 
-@job("reco_factors")
+@job("reco_factors", f"""WITH {SPLIT} SELECT DISTINCT 'user' AS kind, "user" AS id, CAST(10 AS INTEGER) AS rank FROM parts
+    WHERE part = 'train' UNION ALL SELECT DISTINCT 'item', item, CAST(10 AS INTEGER) FROM parts WHERE part = 'train'""")
 def reco_factors(spark, sf_dir):
+    """The ids that have factors, and how many; the factors themselves are reco_factor_preview."""
     model = model_of(spark, sf_dir)
     users = model.userFactors.select(F.lit("user").alias("kind"), "id", F.size("features").alias("rank"))
     items = model.itemFactors.select(F.lit("item").alias("kind"), "id", F.size("features").alias("rank"))
     return users.unionByName(items)
 
 
+@job("reco_factor_preview")
+def reco_factor_preview(spark, sf_dir):
+    """The factors of the ten first users and items."""
+    model = model_of(spark, sf_dir)
+    first = lambda df, kind: df.orderBy("id").limit(10).select(F.lit(kind).alias("kind"), "id", "features")
+    return first(model.userFactors, "user").unionByName(first(model.itemFactors, "item"))
+
+
 @job("reco_auc_als")
 def reco_auc_als(spark, sf_dir):
     return ops.mean_auc(auc_pairs(spark, sf_dir), ops.predict_model(model_of(spark, sf_dir)))
@@ -245,9 +268,10 @@ def reco_grid(spark, sf_dir):
 
 @job("reco_user_topn")
 def reco_user_topn(spark, sf_dir):
-    """Ten best items, with names, for every user of the validation part."""
+    """Ten best items, with names, for the ten users of the validation part with the most plays."""
     _, valid = train_valid(spark, sf_dir)
-    best = ops.recommend(model_of(spark, sf_dir), valid.select("user").distinct(), 10)
+    chosen = valid.groupBy("user").agg(F.sum("rating").alias("n")).orderBy(F.desc("n"), "user").limit(10)
+    best = ops.recommend(model_of(spark, sf_dir), chosen, 10)
     return ops.with_names(best, artists(spark, sf_dir))
 
 
