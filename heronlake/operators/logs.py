@@ -17,10 +17,12 @@ MODES = ("failfast", "dropmalformed", "permissive")
 def _record(value: Column) -> Column:
     """One row per line with the fields and `_bad`; for `inline`, so the regex runs once a line.
 
-    The groups are put on lines of their own and cut; a line that does not match stays whole.
+    The groups are put on lines of their own and cut. They hold no line ends themselves, but a line that does not match
+    stays whole and may: it is told by its own text, which the replacement leaves as it was.
     """
     groups = "\n".join(f"${i}" for i in range(1, len(FIELDS) + 1))
-    parts = F.split(F.regexp_replace(value, "(?s)" + LINE + ".*", groups), "\n")
+    replaced = F.regexp_replace(value, "(?s)" + LINE + ".*", groups)
+    parts = F.when(replaced != value, F.split(replaced, "\n")).otherwise(F.array().cast("array<string>"))
 
     def fields(p: Column) -> Column:
         good = F.size(p) == len(FIELDS)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heronlake.operators.ordering import MAX_ROWS, sum_below
+from heronlake.operators.ordering import with_offsets
 from heronlake.session import settle
 
 
@@ -19,29 +19,28 @@ def confusion(df: DataFrame, prediction: str = "prediction", label: str = "label
     return df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
-def score_bucket(score: Column) -> Column:
-    """A whole number that never falls while the score rises; finer near zero."""
-    return (F.signum(score) * F.floor(F.log2(1 + F.abs(score)) * 1024)).cast("long")
-
-
-def auc(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = "label",
-        ties: float = 0.5, max_rows: int = MAX_ROWS) -> DataFrame:
+def auc(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = "label", ties: float = 0.5) -> DataFrame:
     """Share of (positive, negative) pairs ranked right, per `by` group, without building pairs.
 
-    Rows are first reduced to one per score. For each score the negatives strictly below come
-    from a running sum. Equal scores count `ties` (0.5 is the area under the ROC curve, 0 counts
-    strict wins only). Groups without a positive or a negative are left out.
+    Rows are first reduced to one per score and range-partitioned by group and score, so a group of any size and any spread
+    of scores is cut evenly. For each score the negatives strictly below come from a running sum inside the range and
+    the totals of the ranges before. Equal scores count `ties` (0.5 is the area under the ROC curve, 0 counts strict
+    wins only). Groups without a positive or a negative are left out.
     """
     keys = list(by) or ["_all"]
     rows = df if by else df.withColumn("_all", F.lit(0))
     positive = F.when(F.col(label) > 0, 1).otherwise(0)
     counts = rows.groupBy(*keys, F.col(score).alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-    counts = settle(counts, "score-counts")
-    ranked = sum_below(counts, keys, "score", "neg", score_bucket(F.col("score")), max_rows)
-    wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") * ties))
-    result = ranked.groupBy(*keys).agg(
-        (wins / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc")).filter("auc is not null")
+    # stored, as the borders of the ranges are sampled anew by every evaluation
+    counts = settle(counts.repartitionByRange(*keys, "score").withColumn("_bucket", F.spark_partition_id()), "score-counts")
+    totals = counts.groupBy(*keys, "_bucket").agg(F.sum("neg").alias("_total"))
+    earlier = Window.partitionBy(*keys, "_bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = with_offsets(counts.withColumn("_inside", F.coalesce(F.sum("neg").over(earlier), F.lit(0))), keys, totals, "_before")
+    below = F.col("_before") + F.col("_inside")
+    wins = F.sum(F.col("pos") * (below + F.col("neg") * ties).cast("double"))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    result = ranked.groupBy(*keys).agg((wins / F.nullif(pairs, F.lit(0.0))).alias("auc")).filter("auc is not null")
     return result if by else result.drop("_all")
 
 

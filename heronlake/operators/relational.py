@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,20 +36,31 @@ def left_default(df: DataFrame, dim: DataFrame, on: str, dim_key: str, dim_value
             .withColumn(out, F.coalesce("_value", default)).drop("_key", "_value"))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, n_distinct): one aggregate per column over that column alone, so rows are not copied once per column and a
+    frequent value is one row before it is moved."""
+    parts = [df.groupBy(F.col(f"`{c}`").alias("v")).agg(F.lit(1)).agg(F.count("v").alias("n_distinct"))
+             .select(F.lit(c).alias("column"), "n_distinct") for c in columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """One row per column: non-null count, distinct count, least and greatest value, in one job."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    aggs = []
+    """One row per column: non-null count, distinct count, least and greatest value."""
+    aggs, names = [], []
     for i, field in enumerate(df.schema.fields):
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             raise ValueError(f"nested column {field.name}")
         c = F.col(f"`{field.name}`")
-        aggs += [F.count(c).alias(f"n{i}"), distinct(c).alias(f"d{i}"),
-                 F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
-    rows = [F.struct(F.lit(f.name).alias("column"), F.col(f"n{i}").alias("non_null"),
-                     F.col(f"d{i}").alias("n_distinct"), F.col(f"lo{i}").alias("min_value"),
-                     F.col(f"hi{i}").alias("max_value")) for i, f in enumerate(df.schema.fields)]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+        names.append(field.name)
+        aggs += [F.count(c).alias(f"n{i}"), F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
+        aggs += [F.approx_count_distinct(c).alias(f"d{i}")] if approx else []
+    rows = [F.struct(F.lit(n).alias("column"), F.col(f"n{i}").alias("non_null"),
+                     *([F.col(f"d{i}").alias("n_distinct")] if approx else []),
+                     F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value")) for i, n in enumerate(names)]
+    profile = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not approx:
+        profile = profile.join(distinct_counts(df, names), "column")
+    return profile.select("column", "non_null", "n_distinct", "min_value", "max_value")
 
 
 def grouped_join_stats(people: DataFrame, projects: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Folders already written by this driver: (application id, input, name) -> path.
+# Folders already written by this driver: (application id, input and its files, name) -> path.
 _written: dict[tuple[str, str, str], str] = {}
 _local_root: dict[str, str] = {}
 
@@ -69,9 +69,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _files_of(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of what a folder holds: changes when its tables do."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.listStatus(path) if system.exists(path) else []
+    return " ".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in found))
+
+
 def written_once(spark: SparkSession, source: str, name: str, write) -> str:
-    """Path of data written by write(path), once per session and input folder."""
-    key = (spark.sparkContext.applicationId, source, name)
+    """Path of data written by write(path), once per session and state of the input folder."""
+    key = (spark.sparkContext.applicationId, f"{source} {_files_of(spark, source)}", name)
     if key not in _written:
         path = fresh_dir(spark, name)
         write(path)
@@ -79,6 +88,16 @@ def written_once(spark: SparkSession, source: str, name: str, write) -> str:
     return _written[key]
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all that this application has put in the shared folder. Results that read it are gone as well, so it is for
+    the end of a program."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for key in [k for k in _written if k[0] == spark.sparkContext.applicationId]:
+        del _written[key]
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts the plan and the lineage.
 

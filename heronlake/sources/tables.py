@@ -50,8 +50,9 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten people to a name, whatever the size of the table."""
     return table(spark, sf_dir, "customer").select(
-        F.expr("concat('N', cast(c_custkey % 50 as string))").alias("name"),
+        F.expr("concat('N', cast(c_custkey div 10 as string))").alias("name"),
         F.expr("cast(floor(c_acctbal) as int) % 100").alias("age"),
         F.col("c_custkey").alias("id"))
 
@@ -75,7 +76,7 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
         F.expr("""concat('http://site', cast(s_suppkey as string), '.',
                   case s_nationkey % 3 when 0 then 'org' when 1 then 'com' else 'net' end)""").alias("website"),
-        F.expr("concat('N', cast(s_suppkey % 50 as string))").alias("manager"))
+        F.expr("concat('N', cast(s_suppkey as string))").alias("manager"))
 
 
 def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
