@@ -62,7 +62,7 @@ def scan_libsvm(spark, sf_dir):
     path = written_once(spark, sf_dir, "libsvm", lambda p: vectors(spark, sf_dir).select(
         F.col("label").cast("double").alias("label"), array_to_vector("v").alias("features"))
         .write.format("libsvm").save(p))
-    rows = files.read_libsvm(spark, path)
+    rows = files.read_libsvm(spark, path, num_features=64)
     cells = rows.select("label", F.posexplode(vector_to_array("features")).alias("i", "x"))
     return cells.groupBy("label", F.col("i").cast("bigint").alias("i")).agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("x") != 0, 1)).alias("non_zero"),
@@ -80,7 +80,8 @@ def status_json(spark, sf_dir) -> str:
 @job("scan_json_status", f"""{STATUS_ROWS} SELECT id, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
     lang, name, text FROM status""")
 def scan_json_status(spark, sf_dir):
-    rows = files.read_json(spark, status_json(spark, sf_dir))
+    schema = "createdAt string, id bigint, text string, user struct<lang: string, name: string>"
+    rows = files.read_json(spark, status_json(spark, sf_dir), schema)
     return rows.select("id", F.col("createdAt").alias("created_at"), "user.lang", "user.name", "text")
 
 

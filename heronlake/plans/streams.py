@@ -10,14 +10,14 @@ from heronlake.operators import text as textops
 from heronlake.plans import oracle as o
 from heronlake.plans.text import line_files
 from heronlake.registry import job
-from heronlake.session import fresh_dir
+from heronlake.session import fresh_dir, written_once
 from heronlake.sources.tables import (access_log, blacklist, lexicon, messages, status, table)
 
 from heronlake.streaming.replay import replay, write_slices
 from heronlake.streaming.runner import (batch_writer, open_stream, read_batches, read_last, read_latest,
                                         run_available, to_table)
-from heronlake.streaming.state import collect_until, count_per_record, fold_by_key
-from heronlake.streaming.windows import (as_ntz, count_windows, keep_zero, panes, seconds, slide_panes)
+from heronlake.streaming.state import collect_until, count_per_record, fold_by_key, keep_recent
+from heronlake.streaming.windows import (as_ntz, count_windows, every_window, keep_zero, panes, seconds, slide_panes)
 
 IP_THRESHOLD = 20
 LATE = "1 day"
@@ -78,7 +78,7 @@ def stream_word_count(spark, sf_dir):
 def stream_running_counts(spark, sf_dir):
     """All keys with their running counts; a batch writes only the keys it changed."""
     counts = textops.word_count(doc_words(spark, sf_dir))
-    return read_latest(spark, to_table(counts, "update", "running"), ["word"])
+    return read_latest(spark, to_table(counts, "update", "running", keys=["word"]), ["word"])
 
 
 STATS = """CAST(sum(content_size) // count(*) AS BIGINT) AS avg_size, min(content_size) AS min_size,
@@ -120,12 +120,20 @@ BATCH = slice_of("events", "event_id")
 BATCH_WORDS = f"WITH {o.MESSAGE_WORDS}, counts AS (SELECT {BATCH} AS batch_id, word, count(*) AS n FROM words GROUP BY ALL)"
 
 
-@job("stream_batch_top_words", f"""{BATCH_WORDS} SELECT batch_id, word, n FROM counts
-    QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY n DESC, word) <= 5""")
+@job("stream_batch_top_words", f"""WITH {o.MESSAGE_WORDS},
+    rows AS (SELECT {BATCH} AS batch_id, part, word, ts FROM words),
+    counts AS (SELECT batch_id, part, word, count(*) AS n, max(ts) AS last FROM rows GROUP BY ALL)
+    SELECT batch_id, max(last) OVER (PARTITION BY batch_id) AS batch_time, part, word, n FROM counts
+    QUALIFY row_number() OVER (PARTITION BY batch_id, part ORDER BY n DESC, word) <= 5""")
 def stream_batch_top_words(spark, sf_dir):
-    path = to_table(message_words(spark, sf_dir), "append", "batch-top",
-                    change=lambda batch, _: textops.top_k(textops.word_count(batch), "n", 5, "word"))
-    return read_batches(spark, path)
+    """The five most frequent words of each batch and message partition, with the batch's (event) time."""
+    def top(batch, _):
+        counts = batch.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"))
+        place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "word"))
+        time = F.max("last").over(Window.partitionBy())  # over one row per word and partition of the batch
+        return counts.select("part", "word", "n", time.alias("batch_time"), place.alias("place")).filter("place <= 5").drop("place")
+
+    return as_ntz(read_batches(spark, to_table(message_words(spark, sf_dir), "append", "batch-top", change=top)))
 
 
 @job("stream_sql_word_count", f"{BATCH_WORDS} SELECT batch_id, word, n FROM counts")
@@ -159,7 +167,7 @@ def stream_offset_ranges(spark, sf_dir):
 def stream_kafka_like_counts(spark, sf_dir):
     """Broker-shaped rows; with the connector package the same job reads open_stream('kafka', ...)."""
     counts = textops.word_count(message_words(spark, sf_dir), by=["topic"])
-    return read_latest(spark, to_table(counts, "update", "broker"), ["topic", "word"])
+    return read_latest(spark, to_table(counts, "update", "broker", keys=["topic", "word"]), ["topic", "word"])
 
 
 # --- cleaning with a blacklist --------------------------------------------------------
@@ -168,14 +176,15 @@ DOC_BATCH = slice_of("documents", "doc_id")
 
 
 def blacklist_table(spark, sf_dir) -> str:
-    """Counts per batch with a flag for dropped words: both reports come from one pass."""
+    """Counts per batch with a flag for dropped words: both reports read the table of one pass."""
     listed = blacklist(spark).withColumn("dropped", F.lit(True))
 
     def flag(batch, _):
         return (textops.word_count(batch).join(listed, "word", "left")
                 .withColumn("dropped", F.coalesce("dropped", F.lit(False))))
 
-    return to_table(doc_words(spark, sf_dir), "append", "blacklist", change=flag)
+    return written_once(spark, sf_dir, "blacklist", lambda path: to_table(
+        doc_words(spark, sf_dir), "append", "blacklist", path=path, change=flag))
 
 
 @job("stream_blacklist_counts", f"""WITH {o.WORDS}, {o.BLACKLIST} SELECT {DOC_BATCH} AS batch_id, word, count(*) AS n
@@ -184,11 +193,14 @@ def stream_blacklist_counts(spark, sf_dir):
     return read_batches(spark, blacklist_table(spark, sf_dir)).filter("not dropped").drop("dropped")
 
 
-@job("stream_dropped_words", f"""WITH {o.WORDS}, {o.BLACKLIST} SELECT {DOC_BATCH} AS batch_id, count(*) AS dropped
-    FROM words WHERE word IN (SELECT word FROM blacklist) GROUP BY ALL""")
+@job("stream_dropped_words", f"""WITH {o.WORDS}, {o.BLACKLIST}, per_batch AS (SELECT {DOC_BATCH} AS batch_id,
+      count(*) AS dropped FROM words WHERE word IN (SELECT word FROM blacklist) GROUP BY ALL)
+    SELECT batch_id, dropped, CAST(sum(dropped) OVER (ORDER BY batch_id) AS BIGINT) AS total FROM per_batch""")
 def stream_dropped_words(spark, sf_dir):
+    """Dropped words of each batch and of all batches up to it; the table outlives a restart, and so does the total."""
     rows = read_batches(spark, blacklist_table(spark, sf_dir)).filter("dropped")
-    return rows.groupBy("batch_id").agg(F.sum("n").alias("dropped"))
+    per_batch = rows.groupBy("batch_id").agg(F.sum("n").alias("dropped"))  # a row per batch
+    return per_batch.withColumn("total", F.sum("dropped").over(Window.orderBy("batch_id")))
 
 
 # --- event-time windows -------------------------------------------------------------------
@@ -207,17 +219,23 @@ WINDOW_LOGS = windowed("logs", LENGTH, SLIDE)
 
 def log_panes(spark, sf_dir, keys, name, aggs=None):
     rows = panes(log_stream(spark, sf_dir), keys, SLIDE, watermark=LATE, aggs=aggs)
-    return read_latest(spark, to_table(rows, "update", name), ["start", "end", *keys])
+    return read_latest(spark, to_table(rows, "update", name, keys=["start", "end", *keys]), ["start", "end", *keys])
 
 
-@job("stream_log_stats", f'{o.LOGS} SELECT start, "end", {STATS} FROM {WINDOW_LOGS} GROUP BY start, "end"')
+@job("stream_log_stats", f"""{o.LOGS}, report AS (SELECT start, {STATS} FROM {WINDOW_LOGS} GROUP BY start),
+    starts AS (SELECT unnest(generate_series((SELECT min(start) FROM report), (SELECT max(start) FROM report),
+      INTERVAL 12 HOUR)) AS start)
+    SELECT start, start + INTERVAL 2 DAY AS "end", avg_size, min_size, max_size, coalesce(n, 0) AS n
+    FROM starts LEFT JOIN report USING (start)""")
 def stream_log_stats(spark, sf_dir):
     parts = log_panes(spark, sf_dir, [], "log-stats", [
         F.count(F.lit(1)).alias("n"), F.sum("content_size").alias("total"),
         F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size")])
-    return as_ntz(slide_panes(parts, [], LENGTH, SLIDE, [
+    report = slide_panes(parts, [], LENGTH, SLIDE, [
         F.expr("sum(total) div sum(n)").alias("avg_size"), F.min("min_size").alias("min_size"),
-        F.max("max_size").alias("max_size"), F.sum("n").alias("n")]))
+        F.max("max_size").alias("max_size"), F.sum("n").alias("n")])
+    # a window without a line has its row too
+    return as_ntz(every_window(report, LENGTH, SLIDE).withColumn("n", F.coalesce("n", F.lit(0).cast("long"))))
 
 
 @job("stream_log_codes",
@@ -252,19 +270,25 @@ def stream_log_endpoints(spark, sf_dir):
     count(*) AS n, min(content_size) AS min_size, max(content_size) AS max_size
     FROM {WINDOW_LOGS} GROUP BY start, response_code""")
 def stream_log_sql(spark, sf_dir):
+    """SQL on the stream gives panes; SQL on the stored panes slides over them."""
     log_stream(spark, sf_dir).withWatermark("ts", LATE).createOrReplaceTempView("log_stream")
-    report = spark.sql(f"""
+    pane = spark.sql(f"""
         SELECT window.start AS start, response_code, sum(content_size) AS total, count(*) AS n,
                min(content_size) AS min_size, max(content_size) AS max_size
-        FROM log_stream GROUP BY window(ts, '{LENGTH}', '{SLIDE}'), response_code""")
-    return as_ntz(read_latest(spark, to_table(report, "update", "log-sql"), ["start", "response_code"]))
+        FROM log_stream GROUP BY window(ts, '{SLIDE}'), response_code""")
+    keys = ["start", "response_code"]
+    read_latest(spark, to_table(pane, "update", "log-sql", keys=keys), keys).createOrReplaceTempView("log_panes")
+    return as_ntz(spark.sql(f"""
+        SELECT window.start AS start, response_code, sum(total) AS total, sum(n) AS n, min(min_size) AS min_size,
+               max(max_size) AS max_size
+        FROM (SELECT start AS ts, * EXCEPT (start) FROM log_panes) GROUP BY window(ts, '{LENGTH}', '{SLIDE}'), response_code"""))
 
 
 @job("stream_sliding_counts", f"""WITH {o.TAGS} SELECT start, "end", tag, count(*) AS n
     FROM {windowed("tags", "2 days", "1 day")} GROUP BY ALL""")
 def stream_sliding_counts(spark, sf_dir):
     counts = count_windows(tag_stream(spark, sf_dir), ["tag"], "2 days", "1 day", watermark=LATE)
-    return as_ntz(read_latest(spark, to_table(counts, "update", "sliding"), ["start", "end", "tag"]))
+    return as_ntz(read_latest(spark, to_table(counts, "update", "sliding", keys=["start", "end", "tag"]), ["start", "end", "tag"]))
 
 
 PANE_LENGTH, PANE_SLIDE = "10 days", "6 hours"
@@ -274,7 +298,7 @@ PANE_LENGTH, PANE_SLIDE = "10 days", "6 hours"
     FROM {windowed("tags", PANE_LENGTH, PANE_SLIDE)} GROUP BY ALL""")
 def stream_sliding_counts_panes(spark, sf_dir):
     rows = panes(tag_stream(spark, sf_dir), ["tag"], PANE_SLIDE, watermark=LATE)
-    parts = read_latest(spark, to_table(rows, "update", "panes"), ["start", "end", "tag"])
+    parts = read_latest(spark, to_table(rows, "update", "panes", keys=["start", "end", "tag"]), ["start", "end", "tag"])
     return as_ntz(slide_panes(parts, ["tag"], PANE_LENGTH, PANE_SLIDE))
 
 
@@ -303,7 +327,7 @@ def popular_sql(length: str) -> str:
 def popular_tags(spark, sf_dir, length):
     """Top ten tags per window and the number of tags in it."""
     rows = panes(tag_stream(spark, sf_dir), ["tag"], SLIDE, watermark=LATE)
-    parts = read_latest(spark, to_table(rows, "update", "popular"), ["start", "end", "tag"])
+    parts = read_latest(spark, to_table(rows, "update", "popular", keys=["start", "end", "tag"]), ["start", "end", "tag"])
     counts = slide_panes(parts, ["tag"], length, SLIDE)
     sizes = counts.groupBy("start").agg(F.count(F.lit(1)).alias("tags"))
     top = top_per_window(counts, "tag", 10).join(sizes, "start")
@@ -323,8 +347,9 @@ def stream_popular_tags_short(spark, sf_dir):
 @job("stream_recent_rows", f"""WITH {o.STATUS} SELECT CAST(floor(epoch(created_at)) AS BIGINT) AS created_at, text
     FROM status WHERE created_at > (SELECT max(created_at) FROM status) - INTERVAL 2 DAY AND text LIKE '%#purchase%'""")
 def stream_recent_rows(spark, sf_dir):
-    """Rows of the last two days of the stream, kept as a table and queried with LIKE."""
-    path = to_table(status_stream(spark, sf_dir), "append", "recent")
+    """Rows of the last two days of the stream, kept as a table that lets older batches go, and queried with LIKE."""
+    path = fresh_dir(spark, "recent")
+    keep_recent(status_stream(spark, sf_dir), "createdAt", "2 days", path, fresh_dir(spark, "recent-checkpoint"))
     read_batches(spark, path).createOrReplaceTempView("stored_status")
     return spark.sql("""SELECT unix_seconds(createdAt) AS created_at, text FROM stored_status
         WHERE createdAt > (SELECT max(createdAt) FROM stored_status) - INTERVAL 2 DAYS
@@ -355,7 +380,7 @@ def stream_late_dropped(spark, sf_dir):
     edges = arrivals.unionByName(ends)
     stream = replay(spark, sf_dir, "late", edges, "arrival", slices=4).filter("ts is not null")
     counts = count_windows(stream, ["event_type"], "12 hours", watermark=LATE).drop("end")
-    return as_ntz(read_latest(spark, to_table(counts, "update", "late"), ["start", "event_type"]))
+    return as_ntz(read_latest(spark, to_table(counts, "update", "late", keys=["start", "event_type"]), ["start", "event_type"]))
 
 
 # --- state ------------------------------------------------------------------------------
@@ -386,7 +411,7 @@ def stream_update_state(spark, sf_dir):
     ones = message_words(spark, sf_dir).withColumn("one", F.lit(1).cast("long"))
     start = spark.createDataFrame([("click", 1), ("view", 1)], "word string, one long")
     totals = fold_by_key(ones, "word", "one", add_all, F.pmod("event_id", salts), start)
-    parts = read_latest(spark, to_table(totals, "update", "fold"), ["key", "salt"])
+    parts = read_latest(spark, to_table(totals, "update", "fold", keys=["key", "salt"]), ["key", "salt"])
     return parts.groupBy(F.col("key").alias("word")).agg(F.sum("total").alias("n"))
 
 
@@ -421,31 +446,36 @@ def stream_collect_json(spark, sf_dir):
     store = batch_writer(path, "json", change=lambda batch, _: batch.drop("createdAt").repartition(4))
 
     def write(batch, batch_id):
+        batch.persist()  # looked at and written: read once
         if not batch.isEmpty():
             store(batch, batch_id)
+        batch.unpersist()
 
     run_available(status_stream(spark, sf_dir), "append", fresh_dir(spark, "json-checkpoint"), write)
     rows = read_batches(spark, path, "json", "id bigint, user struct<lang:string,name:string>, text string, batch_id bigint")
     return rows.select("batch_id", "id", "user.lang", "user.name", "text")
 
 
-COLLECT_TARGET = 500
+COLLECT_TARGETS = (500, 900)
 
 
 @job("stream_collect_until", f"""WITH sized AS (SELECT {BATCH} AS batch_id, count(*) AS n FROM events GROUP BY ALL),
     running AS (SELECT batch_id, n, sum(n) OVER (ORDER BY batch_id) - n AS before FROM sized)
-    SELECT batch_id, n FROM running WHERE before < {COLLECT_TARGET}""")
+    SELECT batch_id, n FROM running WHERE before < {COLLECT_TARGETS[-1]}""")
 def stream_collect_until(spark, sf_dir):
-    path = fresh_dir(spark, "until")
-    collect_until(message_stream(spark, sf_dir), COLLECT_TARGET, path, fresh_dir(spark, "until-checkpoint"))
+    """Stopped at the first target, then gone on with from the same checkpoint to the second."""
+    path, checkpoint = fresh_dir(spark, "until"), fresh_dir(spark, "until-checkpoint")
+    for target in COLLECT_TARGETS:
+        collect_until(message_stream(spark, sf_dir), target, path, checkpoint)
     return read_batches(spark, path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @job("stream_custom_source", f"WITH {o.WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
 def stream_custom_source(spark, sf_dir):
-    lines = open_stream(spark, "lines", path=line_files(spark, sf_dir))
+    """Lines of the files that appear in a folder, by Spark's own text source."""
+    lines = open_stream(spark, "files", file_format="text", path=line_files(spark, sf_dir))
     counts = textops.word_count(textops.tokenize(lines))
-    return read_latest(spark, to_table(counts, "update", "custom"), ["word"])
+    return read_latest(spark, to_table(counts, "update", "custom", keys=["word"]), ["word"])
 
 
 @job("stream_status_filter", f"""WITH {o.STATUS} SELECT id, lang, text FROM status
@@ -475,7 +505,7 @@ def stream_join_dim_top(spark, sf_dir):
     counts = panes(log_stream(spark, sf_dir), ["endpoint"], "6 days", watermark=LATE,
                    aggs=[F.count(F.lit(1)).alias("total")])
     joined = counts.join(dim, F.col("endpoint") == F.col("website")).drop("website", "end")
-    rows = read_latest(spark, to_table(joined, "update", "dim"), ["start", "endpoint", "owner"])
+    rows = read_latest(spark, to_table(joined, "update", "dim", keys=["start", "endpoint", "owner"]), ["start", "endpoint", "owner"])
     return as_ntz(top_per_window(rows, "endpoint", 10, "total"))
 
 
@@ -487,4 +517,4 @@ def stream_tag_sentiment(spark, sf_dir):
     counts = panes(tags, ["tag"], "2 days", watermark=LATE).drop("end")
     scored = (counts.join(lexicon(spark), F.col("tag") == F.col("word"))
               .select("start", "tag", "n", (F.col("n") * F.col("score")).alias("weight")))
-    return as_ntz(read_latest(spark, to_table(scored, "update", "sentiment"), ["start", "tag"]))
+    return as_ntz(read_latest(spark, to_table(scored, "update", "sentiment", keys=["start", "tag"]), ["start", "tag"]))

@@ -125,9 +125,15 @@ def text_phrases(spark, sf_dir):
     return found.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("n"))
 
 
+def digit_messages(df, id_col, words=20):
+    digits = F.transform(
+        F.sequence(F.lit(0), F.lit(words - 1)),
+        lambda j: F.pmod(F.pmod(F.col(id_col) * 7919 + j * 104729, F.lit(1000003)), F.lit(10)).cast("string"))
+    return df.withColumn("value", F.array_join(digits, " "))
+
+
 @job("gen_digit_messages", """SELECT event_id AS id, array_to_string(list_transform(range(0, 20),
       lambda j: CAST(((event_id * 7919 + j * 104729) % 1000003) % 10 AS VARCHAR)), ' ') AS value FROM events""")
 def gen_digit_messages(spark, sf_dir):
-    from heronlake.sources.generator import digit_messages
-
+    """Twenty digits for each event, a fixed arithmetic hash of its id."""
     return digit_messages(table(spark, sf_dir, "events").select(F.col("event_id").alias("id")), "id")

@@ -6,37 +6,44 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from heronlake.operators.ordering import MAX_ROWS, positions
-from heronlake.streaming.runner import batch_writer, run_available
+from heronlake.operators.ordering import positions
+from heronlake.streaming.runner import batch_ids, batch_writer, drop_batches, read_batches, run_available
+from heronlake.streaming.windows import seconds
+
+ENOUGH = "enough rows are stored"
 
 
 def count_per_record(df: DataFrame, key: str, order: Sequence[str], bucket: Column, path: str,
-                     checkpoint: str, initial: DataFrame | None = None, max_rows: int = MAX_ROWS) -> None:
+                     checkpoint: str, initial: DataFrame | None = None) -> None:
     """For every input row the running count of its key, starting from `initial` (key, n).
 
-    Writes rows to path/rows and the counts of all keys to path/state, one folder per batch.
-    A batch reads the state of the batch before it, so a replay gives the same output. Rows of a
-    hot key are numbered in pieces (see `positions`), not by one task.
+    Writes rows to path/rows and the counts of the keys it changed to path/state, one folder per batch. A batch reads the
+    counts from before it only for its own keys, and a replay gives the same output. Rows of a key are numbered in
+    pieces (see `positions`), not by one task.
     """
     spark = df.sparkSession
     empty = spark.createDataFrame([], df.select(key).schema).withColumn("n", F.lit(0).cast("long"))
     start = initial.select(key, F.col("n").cast("long").alias("n")) if initial is not None else empty
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = start if batch_id == 0 else spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
         batch.persist()
-        numbered = positions(batch, [key], order, bucket, max_rows)
-        seen = before.select(F.col(key).alias("_key"), F.col("n").alias("_n"))
-        rows = (numbered.join(seen, F.col(key).eqNullSafe(F.col("_key")), "left")
-                .withColumn("n", F.coalesce("_n", F.lit(0)) + F.col("pos") + 1).drop("_key", "_n", "pos"))
-        batch_writer(f"{path}/rows")(rows, batch_id)
-        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        total = before.unionByName(counts).groupBy(key).agg(F.sum("n").alias("n"))
+        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_new"))
+        before = start.withColumn("_at", F.lit(-1).cast("long"))
+        if batch_id:
+            before = before.unionByName(read_batches(spark, f"{path}/state").filter(F.col("batch_id") < batch_id)
+                                        .withColumnRenamed("batch_id", "_at"))
+        seen = (before.join(counts.select(F.col(key).alias("_k")), F.col(key).eqNullSafe(F.col("_k")), "left_semi")
+                .groupBy(F.col(key).alias("_key")).agg(F.max_by("n", "_at").alias("_n")))
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        known = F.coalesce("_n", F.lit(0))
+        rows = positions(batch, [key], order, bucket).join(seen, same, "left").withColumn("n", known + F.col("pos") + 1)
+        batch_writer(f"{path}/rows")(rows.drop("_key", "_n", "pos"), batch_id)
+        total = counts.join(seen, same, "left").select(key, (known + F.col("_new")).alias("n"))
         batch_writer(f"{path}/state")(total, batch_id)
         batch.unpersist()
 
@@ -89,30 +96,59 @@ def fold_by_key(df: DataFrame, key: str, value: str, fold: Callable[[pd.Series,
         outputMode="Update", timeMode="None", initialState=start)
 
 
-def collect_until(df: DataFrame, target: int, path: str, checkpoint: str,
-                  poll_seconds: float | None = None) -> int:
+def keep_recent(df: DataFrame, ts: str, length: str, path: str, checkpoint: str) -> None:
+    """Stores the rows of a stream and lets batches go once all their rows are older than `length` before the newest row
+    stored so far: the folder holds about one window of rows, however long the stream runs."""
+    spark = df.sparkSession
+    store, span = batch_writer(path), seconds(length)
+    newest: dict[int, float] = {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        for i in batch_ids(spark, path):  # after a restart the batches of earlier runs are measured once
+            if i == batch_id or i not in newest:
+                last = spark.read.parquet(f"{path}/batch_id={i}").agg(F.max(ts).cast("double")).first()[0]
+                newest[i] = last if last is not None else float("-inf")
+        border = max(newest.values()) - span
+        old = [i for i, last in newest.items() if last <= border and i != batch_id]
+        drop_batches(spark, path, old)
+        for i in old:
+            del newest[i]
+
+    run_available(df, "append", checkpoint, write)
+
+
+class _Enough(Exception):
+    """Ends a query before the batch at hand is stored or committed."""
+
+
+def collect_until(df: DataFrame, target: int, path: str, checkpoint: str, poll_seconds: float | None = None) -> int:
     """Stores whole batches until at least `target` rows are there; gives the number stored.
 
-    What is stored decides, so the count survives a restart. Batches after the one that
-    reaches the target are not stored. Without poll_seconds it also ends when the input does.
+    The query ends at the boundary of the batch that reaches the target: later input is neither stored nor committed, so a
+    further call on the same checkpoint with a higher target goes on with it. The stored batches are counted once when
+    the call begins; then every batch adds its own count. Without poll_seconds it also ends when the input does.
     """
     spark = df.sparkSession
     store = batch_writer(path)
-
-    def stored(before: int | None = None) -> int:
-        try:
-            rows = spark.read.parquet(path)
-        except AnalysisException:  # nothing written yet
-            return 0
-        return (rows if before is None else rows.filter(F.col("batch_id") < before)).count()
+    try:
+        sizes = {r["batch_id"]: r["count"] for r in spark.read.parquet(path).groupBy("batch_id").count().collect()}
+    except AnalysisException:  # nothing written yet
+        sizes = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if stored(batch_id) < target:
-            store(batch, batch_id)
+        if sum(n for i, n in sizes.items() if i < batch_id) >= target:
+            raise _Enough(ENOUGH)
+        store(batch, batch_id)
+        sizes[batch_id] = spark.read.parquet(f"{path}/batch_id={batch_id}").count()
 
     while True:
-        run_available(df, "append", checkpoint, write)
-        total = stored()
+        try:
+            run_available(df, "append", checkpoint, write)
+        except StreamingQueryException as error:
+            if ENOUGH not in str(error):
+                raise
+        total = sum(sizes.values())
         if total >= target or poll_seconds is None:
             return total
         time.sleep(poll_seconds)

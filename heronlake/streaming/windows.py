@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from heronlake.session import settle
 
+#: Zero rows that one row of a gap stands for.
+GAP_PIECE = 4_096
+
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -70,19 +73,38 @@ def keep_zero(counts: DataFrame, keys: Sequence[str], length: str, slide: str) -
     the last window of all), and only the missing windows are generated.
     """
     counts = settle(counts.select("start", "end", *keys, "n"), "window-counts")
-    step = F.expr(f"make_dt_interval(0, 0, 0, {seconds(slide)})")
-    size = F.expr(f"make_dt_interval(0, 0, 0, {seconds(length)})")
+    step, size = seconds(slide), seconds(length)
     following = F.lead("start").over(Window.partitionBy(*keys).orderBy("start"))
     last = counts.agg(F.max("start")).scalar()
-    rows = counts.withColumn("_next", F.coalesce(following, last + step))
-    zeros = (
-        rows.filter(F.col("_next") > F.col("start") + step)
-        .select(*keys, F.explode(F.sequence(F.col("start") + step, F.col("_next") - step, step)).alias("start"))
-        .select("start", (F.col("start") + size).alias("end"), *keys, F.lit(0).cast("long").alias("n"))
-    )
+    at = F.unix_seconds("start")
+    rows = (
+        counts.withColumn("_next", following).withColumn("_last", last)
+        .withColumn("_missing", F.coalesce(F.expr(f"(unix_seconds(_next) - unix_seconds(start)) div {step} - 1"),
+                                           F.expr(f"(unix_seconds(_last) - unix_seconds(start)) div {step}"))))
+    # in two steps, so that no array is longer than the root of a gap or GAP_PIECE
+    pieces = rows.filter("_missing > 0").select(*keys, "start", "_missing", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.expr(f"(_missing - 1) div {GAP_PIECE}"))).alias("_piece"))
+    numbers = pieces.select(*keys, "start", F.explode(F.sequence(
+        F.col("_piece") * GAP_PIECE + 1, F.least(F.col("_missing"), (F.col("_piece") + 1) * GAP_PIECE))).alias("_i"))
+    zeros = numbers.select(F.timestamp_seconds(at + F.col("_i") * step).alias("start"),
+                           F.timestamp_seconds(at + F.col("_i") * step + size).alias("end"), *keys,
+                           F.lit(0).cast("long").alias("n"))
     return counts.unionByName(zeros)
 
 
+def every_window(windows: DataFrame, length: str, slide: str) -> DataFrame:
+    """The rows of a report (start, end, columns) with a row of nulls for each window between the first and the last that
+    has none. The windows are counted off in parallel, one by one."""
+    stored = settle(windows, "windows")
+    first, last = stored.agg(F.unix_seconds(F.min("start")), F.unix_seconds(F.max("start"))).first()
+    if first is None:
+        return stored
+    step, size = seconds(slide), seconds(length)
+    starts = stored.sparkSession.range(first, last + 1, step).select(
+        F.timestamp_seconds("id").alias("start"), F.timestamp_seconds(F.col("id") + size).alias("end"))
+    return starts.join(stored.drop("end"), "start", "left")
+
+
 def as_ntz(df: DataFrame) -> DataFrame:
     """Timestamps without zone, as they are kept in tables."""
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
