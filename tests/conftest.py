@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from heronlake.session import build_session, prepare  # noqa: E402
+from heronlake.session import build_session, clear_scratch, prepare  # noqa: E402
 from tests.oracle import connect  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,7 +13,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return prepare(build_session("local[8]", 8, "heronlake-tests"))
+    session = prepare(build_session("local[8]", 8, "heronlake-tests"))
+    yield session
+    clear_scratch(session)
 
 
 @pytest.fixture(scope="session")

@@ -3,14 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from heronlake.registry import JOBS, ORACLE
 from tests.oracle import differences
 
-SQL = entry.oracle_sql()
 
-
-@pytest.mark.parametrize("key", sorted(SQL))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_same_as_sql(key, spark, sf_dir, con):
-    verdict, _, _ = differences(entry.queries()[key](spark, sf_dir), con, SQL[key])
+    verdict, _, _ = differences(JOBS[key](spark, sf_dir), con, ORACLE[key])
     assert verdict == "ok"
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from heronlake.registry import JOBS, ORACLE
 from heronlake.operators import relational
 from heronlake.plans import logs, text
 from heronlake.session import shared_root
@@ -14,7 +15,7 @@ from heronlake.streaming.runner import open_stream
 from heronlake.streaming.windows import count_windows
 
 PYTHON_ON_PURPOSE = {"udf_website_suffix", "sales_discount_mapinpandas"}
-BATCH = [k for k in sorted(entry.oracle_sql()) if not k.startswith(("stream_", "ml_")) and k not in PYTHON_ON_PURPOSE]
+BATCH = [k for k in sorted(ORACLE) if not k.startswith(("stream_", "ml_")) and k not in PYTHON_ON_PURPOSE]
 
 
 def plan(df) -> str:
@@ -88,4 +89,4 @@ def test_stream_reader_needs_no_server_to_be_declared(spark, sf_dir):
 def test_every_key_is_a_plain_name():
     keys = set(entry.queries())
     assert set(entry.oracle_sql()) <= keys
-    assert not [k for k in keys if re.fullmatch(r"op\d+_.*", k)]
+    assert not [k for k in JOBS if re.fullmatch(r"op\d+_.*", k)]

@@ -1,7 +1,6 @@
 """Batch and stream agree; windows, restarts, replays, late rows, sources."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +12,6 @@ from heronlake.plans import streams
 from heronlake.registry import JOBS
 from heronlake.session import fresh_dir
 from heronlake.sources.jdbc import Slices, read_options
-from heronlake.sources.line_source import ByteRange, _lines
 from heronlake.sources.tables import access_log, messages, status
 from heronlake.streaming.replay import write_slices
 from heronlake.streaming.runner import open_stream, read_batches, read_last, read_latest, run_available, to_table
@@ -109,6 +107,35 @@ def test_collect_until_stops_and_resumes(spark, sf_dir):
     assert collect_until(stream, 300, path, checkpoint) == 400
     assert collect_until(stream, 300, path, checkpoint) == 400
     assert read_batches(spark, path).count() == 400
+    assert collect_until(stream, 900, path, checkpoint) == 1000
+    assert read_batches(spark, path).select("event_id").distinct().count() == 1000
+
+
+def test_recent_rows_let_old_batches_go(spark, sf_dir):
+    from heronlake.streaming.runner import batch_ids
+    from heronlake.streaming.state import keep_recent
+
+    source, path, checkpoint = (fresh_dir(spark, n) for n in ("in", "out", "cp"))
+    rows = spark.range(100).select("id", F.timestamp_seconds(F.col("id") * 3600).alias("ts"))
+    write_slices(rows, "id", source, slices=10)
+    stream = open_stream(spark, "files", "id bigint, ts timestamp", path=source, maxFilesPerTrigger="1")
+    keep_recent(stream, "ts", "1 day", path, checkpoint)
+    assert batch_ids(spark, path) == [7, 8, 9]
+    assert {r["id"] for r in read_batches(spark, path).collect()} == set(range(70, 100))
+
+
+def test_many_small_batches_are_merged(spark):
+    """300 batches: a reader opens one merged table and the batches after it."""
+    from heronlake.streaming.runner import batch_writer
+
+    path = fresh_dir(spark, "many")
+    write = batch_writer(path, keys=["k"], merge_every=40)
+    for i in range(300):
+        write(spark.createDataFrame([(i % 7, i)], "k int, v int").coalesce(1), i)
+    latest = read_latest(spark, path, ["k"])
+    assert rows_of(latest) == sorted((k, max(i for i in range(300) if i % 7 == k)) for k in range(7))
+    folders = {f.rsplit("/", 2)[1] for f in latest.inputFiles()}
+    assert len(folders) <= 1 + 20
 
 
 def test_hot_key_numbering_in_a_stream(spark, sf_dir):
@@ -116,8 +143,7 @@ def test_hot_key_numbering_in_a_stream(spark, sf_dir):
 
     rows = streams.message_stream(spark, sf_dir).select("event_id", "ts", F.lit("one").alias("key"))
     path = fresh_dir(spark, "hot")
-    count_per_record(rows, "key", ["ts", "event_id"], F.date_trunc("hour", "ts"), path, fresh_dir(spark, "cp"),
-                     max_rows=10)
+    count_per_record(rows, "key", ["ts", "event_id"], F.date_trunc("hour", "ts"), path, fresh_dir(spark, "cp"))
     got = read_batches(spark, f"{path}/rows").orderBy("event_id").collect()
     assert [r["n"] for r in got] == list(range(1, len(got) + 1))
 
@@ -129,17 +155,6 @@ def test_scoring_a_stream_equals_batch_scoring(spark, sf_dir):
     assert rows_of(kept.select("doc_id", "cluster")) == rows_of(batch)
 
 
-@pytest.mark.parametrize("size", [1, 3, 7, 1000])
-def test_byte_ranges_cover_each_line_once(tmp_path, size):
-    text = "alpha\n\nbé\nlast line without end"
-    file = tmp_path / "part-0"
-    file.write_bytes(text.encode())
-    total = os.path.getsize(file)
-    got = [line for at in range(0, total, size)
-           for line in _lines(ByteRange(str(file), at, min(at + size, total)))]
-    assert got == text.split("\n")
-
-
 def test_unknown_stream_kind(spark):
     with pytest.raises(ValueError):
         open_stream(spark, "carrier pigeon")
@@ -155,13 +170,6 @@ def test_jdbc_options():
         read_options("jdbc:x://h/db")
 
 
-def test_digit_stream_schema(spark):
-    from heronlake.sources.generator import digit_stream
-
-    stream = digit_stream(spark, 10, 5)
-    assert stream.isStreaming and "value" in stream.columns
-
-
 def test_zero_rows_fill_the_gaps(spark):
     from heronlake.streaming.windows import keep_zero
 
