@@ -303,10 +303,40 @@ def test_classes(messy, rows_of, how, monkeypatch):
 
 def test_classes_in_chunks(messy, rows_of, monkeypatch):
     monkeypatch.setattr(jaccard, "CHUNK", 4)  # buckets of near copies are dealt out in pairs of chunks
+    monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", 300)
     rows = texts(messy_rows())
     assert rows_of(jaccard.classes(messy)) == sorted(plain.classes(rows, 3, 90), key=repr)
 
 
+def test_bitmaps_never_drop_a_link():
+    """Sets of 300 to 3,000 shingles, some near one another: whatever links passes the bound, and most of the rest does not."""
+    rng, s = np.random.default_rng(2), jaccard.Settings()
+    sets = []
+    for size in (300, 500, 520, 1_000, 1_050, 3_000):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for change in (0, 5, 20, 60):
+            other = base.copy()
+            other[:size * change // 1000] = rng.integers(0, 1 << 63, size * change // 1000, dtype=np.uint64)
+            sets.append(np.unique(other[:size - change // 10]))
+        sets += [np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(3)]
+    sets.sort(key=len)
+    n = np.array([len(x) for x in sets])
+    passed = linked = 0
+    for bits in (jaccard.Bitmaps([jaccard.bitmap(x, jaccard.wide(len(x))).view(np.uint64) for x in sets]),
+                 jaccard.Bitmaps([jaccard.bitmap(x).view(np.uint64) for x in sets])):
+        for i, a in enumerate(sets):
+            near = set(jaccard.near_pairs(n, bits, i, s).tolist())
+            for j in range(i + 1, len(sets)):
+                common = len(np.intersect1d(a, sets[j]))
+                if 100 * common >= 90 * (len(a) + len(sets[j]) - common):
+                    assert j in near
+                    linked += 1
+            passed += len(near)
+        if linked and bits.rows[-1].shape[1] > 32:
+            assert passed - linked < 0.05 * len(sets) * (len(sets) - 1) / 2
+    assert linked > 30
+
+
 def test_one_of_each(messy, nothing):
     rows = messy_rows()
     kept = jaccard.one_of_each(messy)
