@@ -8,12 +8,14 @@ of their first n - ceil(t n) + 1 shingles (their prefixes).
 2. Groups meet by shingle of their prefixes; a bucket is cut where sizes are too far apart to link, and buckets with the
    same members are one bucket. A group of several nodes is a bucket as well.
 3. Buckets are expanded to nodes with a bitmap of each set. The bits of one set that the other lacks bound the overlap from
-   above; nodes joined by pairs within the bound go on together, others fall off.
-4. The sets of the nodes that are left are read again from the texts, and pairs are verified exactly. Two nodes that are
-   connected already need no further comparison, so a group of many near copies costs about one comparison each.
+   above; the components of the pairs within the bound go on, nodes without such a pair fall off. They meet once more with
+   bitmaps in proportion to their sets, so that long texts, whose small bitmaps are full, are told apart as well.
+4. The texts of the nodes that are left are brought together by component and the pairs verified exactly. Two nodes that
+   are connected already need no further comparison, so a group of many near copies costs about one comparison each.
 5. Components of the verified links give every document its class.
 
-Buckets with more than `CHUNK` members are dealt out as pairs of chunks, so no task holds more than two chunks. Frequent
+Buckets with more than `CHUNK` members, and components with more than `CHUNK_SHINGLES` shingles, are dealt out as pairs
+of chunks, so no task holds more than two chunks. Frequent
 shingles are few by their definition (at most average set size / frequent); only their list is sent to all tasks.
 
 Defined cases: null text is the empty text; texts without words have size 0 and are a class each; equal texts are one
@@ -29,14 +31,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heronlake.llm.common import groups, scramble
 from heronlake.llm.components import components
 from heronlake.session import settle
 
-CHUNK = 2_048
+#: Members of a bucket whose bitmaps stand in one chunk, and shingles of those whose texts do.
+CHUNK, CHUNK_SHINGLES = 2_048, 500_000
 BITS = 2_048
 MIX = 0x9E3779B97F4A7C15
 MIX_INVERSE = pow(MIX, -1, 1 << 64)
@@ -149,13 +152,48 @@ def frequent_shingles(documents: DataFrame, s: Settings) -> np.ndarray:
     return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(tokens >> np.uint64(20)) % np.uint64(BITS)] = 1
-    return np.packbits(bits)
+def bitmap(tokens: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Bytes of a bitmap with a bit for the hash of each shingle; bits is a power of two, so that halves can be folded."""
+    out = np.zeros(bits, np.uint8)
+    out[(tokens >> np.uint64(20)) & np.uint64(bits - 1)] = 1
+    return np.packbits(out)
 
 
-NODES = "doc_id long, text_hash long, n long, node long, grp long, prefix binary, bitmap binary"
+def wide(n: int) -> int:
+    """Bits for a set of n shingles so that about a fifth is set: BITS is enough up to BITS / 4 shingles."""
+    return max(BITS, 1 << (4 * n - 1).bit_length())
+
+
+class Bitmaps:
+    """Bitmaps of members in order of set size, so of growing width; a wider one is folded to meet a narrower one."""
+
+    def __init__(self, bits: list[np.ndarray]) -> None:
+        words = np.array([len(b) for b in bits])
+        self.cuts = [0, *(np.flatnonzero(np.diff(words)) + 1).tolist(), len(bits)]
+        self.rows = [np.stack(bits[a:b]) for a, b in zip(self.cuts[:-1], self.cuts[1:])]
+
+    def common(self, row: int, to: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """(bits set in row, bits set in each of row + 1 .. to - 1, bits common to both)."""
+        at = int(np.searchsorted(self.cuts, row, side="right")) - 1
+        own = self.rows[at][row - self.cuts[at]]
+        filled, both = [], []
+        while self.cuts[at] < to:
+            first, last = max(row + 1, self.cuts[at]), min(to, self.cuts[at + 1])
+            others = self.rows[at][first - self.cuts[at]:last - self.cuts[at]]
+            while others.shape[1] > len(own):
+                others = others[:, :others.shape[1] // 2] | others[:, others.shape[1] // 2:]
+            filled.append(np.bitwise_count(others).sum(axis=1, dtype=np.int64))
+            both.append(np.bitwise_count(others & own).sum(axis=1, dtype=np.int64))
+            at += 1
+        return int(np.bitwise_count(own).sum()), np.concatenate(filled), np.concatenate(both)
+
+
+def name_of(tokens: np.ndarray) -> int:
+    """A set's node: a hash of its shingles."""
+    return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
+
+
+NODES = "doc_id long, text_hash long, n long, node long, grp long, prefix binary, bitmap binary, wide binary"
 
 
 def node_rows(documents: DataFrame, frequent: np.ndarray, s: Settings) -> DataFrame:
@@ -164,15 +202,16 @@ def node_rows(documents: DataFrame, frequent: np.ndarray, s: Settings) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
-            n, node, grp, prefix, bits = [], [], [], [], []
+            n, node, grp, prefix, bits, more = [], [], [], [], [], []
             for tokens in text_sets(batch.column(1), s.words):
                 n.append(len(tokens))
-                name = xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
+                name = name_of(tokens)
                 node.append(name)
                 if name in met or not len(tokens):
                     grp.append(None)
                     prefix.append(None)
                     bits.append(None)
+                    more.append(None)
                     continue
                 met.add(name)
                 last = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens \
@@ -181,9 +220,10 @@ def node_rows(documents: DataFrame, frequent: np.ndarray, s: Settings) -> DataFr
                 grp.append(xxhash.xxh3_64_intdigest(lead.tobytes(), seed=len(tokens)) - (1 << 63))
                 prefix.append(lead.tobytes())
                 bits.append(bitmap(tokens).tobytes())
+                more.append(bitmap(tokens, wide(len(tokens))).tobytes() if wide(len(tokens)) > BITS else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(grp, pa.int64()),
-                 pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], [x.split()[0] for x in NODES.split(", ")])
+                 pa.array(prefix, pa.binary()), pa.array(bits, pa.binary()), pa.array(more, pa.binary())], [x.split()[0] for x in NODES.split(", ")])
 
     return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, NODES)
 
@@ -236,35 +276,37 @@ def group_buckets(tokens: DataFrame, s: Settings) -> DataFrame:
     return ordered.mapInArrow(run, "bucket long, grp long").distinct()
 
 
-def units(members: DataFrame) -> DataFrame:
-    """Deals the members of a bucket (bucket, node, n) out to units (bucket, i, j) of at most two chunks: every pair
-    of members meets in one unit. Adds `side` (0: chunk i, 1: chunk j)."""
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("n", "node")) - 1
-    chunks = members.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = (members.withColumn("chunk", F.floor(place / CHUNK).cast("int"))
-             .join(chunks.withColumnRenamed("bucket", "c_bucket"), F.col("bucket") == F.col("c_bucket")))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(
+def units(members: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """Deals the members of a bucket (bucket, node, n) out to units (bucket, i, j) of at most two chunks, a chunk being
+    members of about `limit` in weight: every pair of members meets in one unit. Adds `side` (0: chunk i, 1: chunk j)."""
+    upto = F.sum(weight).over(Window.partitionBy("bucket").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, 0))
+    dealt = members.withColumn("chunk", F.floor((upto - weight) / limit).cast("int"))
+    last = (members.groupBy("bucket").agg(F.sum(weight).alias("total"))
+            .select(F.col("bucket").alias("c_bucket"), F.floor((F.col("total") - 1) / limit).cast("int").alias("last")))
+    every = F.sequence(F.lit(0), F.greatest("last", "chunk"))
+    pairs = F.transform(every, lambda k: F.struct(
         F.least("chunk", k).alias("i"), F.greatest("chunk", k).alias("j"), (k < F.col("chunk")).cast("int").alias("side")))
-    return dealt.withColumn("unit", F.explode(pairs)).select("bucket", "unit.i", "unit.j", "unit.side", "node", "n")
+    return (dealt.join(last, F.col("bucket") == F.col("c_bucket")).withColumn("unit", F.explode(pairs))
+            .select("bucket", "unit.i", "unit.j", "unit.side", "node", "n"))
 
 
-def near_pairs(n: np.ndarray, bits: np.ndarray, filled: np.ndarray, row: int, s: Settings) -> np.ndarray:
-    """Members after `row` (n ascending) that may link with it, judged by sizes and bitmaps."""
+def near_pairs(n: np.ndarray, bits: Bitmaps, row: int, s: Settings) -> np.ndarray:
+    """Members after `row` (n ascending) that may link with it, judged by sizes and bitmaps: a set has at least as many
+    shingles that the other lacks as its bitmap has bits that the other lacks."""
     to = int(np.searchsorted(n, n[row] * s.den // s.num, side="right"))
     if to <= row + 1:
         return np.zeros(0, np.int64)
-    common = np.bitwise_count(bits[row] & bits[row + 1:to]).sum(axis=1, dtype=np.int64)
-    most = np.minimum(n[row] - filled[row] + common, n[row + 1:to] - filled[row + 1:to] + common)
+    own, filled, common = bits.common(row, to)
+    most = np.minimum(n[row] - own + common, n[row + 1:to] - filled + common)
     return np.flatnonzero(most * (s.den + s.num) >= s.num * (n[row] + n[row + 1:to])) + row + 1
 
 
-def labels_of(n: np.ndarray, side: np.ndarray, cross: bool, bits: np.ndarray, s: Settings, links) -> np.ndarray:
-    """Component of each member; links(row, others) says which of the others really link. Others that are in the
+def labels_of(n: np.ndarray, side: np.ndarray, cross: bool, bits: Bitmaps, s: Settings, links) -> np.ndarray:
+    """Component of each member; links(row, other) says which of the others really link. Others that are in the
     component of the row already are not asked."""
     label = np.arange(len(n))
-    filled = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     for row in range(len(n)):
-        near = near_pairs(n, bits, filled, row, s)
+        near = near_pairs(n, bits, row, s)
         if cross:
             near = near[side[near] != side[row]]
         while len(near := near[label[near] != label[row]]):
@@ -274,70 +316,63 @@ def labels_of(n: np.ndarray, side: np.ndarray, cross: bool, bits: np.ndarray, s:
     return label
 
 
-def unit_arrays(table: pa.Table, bits: list[np.ndarray]) -> tuple:
-    n, side = table.column("n").to_numpy(), table.column("side").to_numpy()
-    order = np.lexsort((table.column("node").to_numpy(), n))
-    return n[order], side[order], np.stack(bits).view(np.uint64)[order], order
+LINKS = "a long, b long"
 
 
-def likely_buckets(expanded: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, node): members of a unit joined by pairs whose bitmaps allow a link; named by their members."""
+def spanning(node: np.ndarray, n: np.ndarray, side: np.ndarray, bits: Bitmaps, cross: bool, s: Settings, same) -> pa.Table:
+    """Links (a, b) between members of a unit for which same(row, other) holds, as many as connect all that belong together."""
+    found: list[tuple[int, int]] = []
 
-    def run(table: pa.Table) -> pa.Table:
-        n, side, bits, order = unit_arrays(table, [np.frombuffer(b, np.uint8) for b in table.column("bitmap").to_pylist()])
-        cross = table.column("i")[0] != table.column("j")[0]
-        node = table.column("node").to_numpy()[order]
-        label = labels_of(n, side, cross, bits, s, lambda a, b: True)
-        size = np.bincount(label, minlength=len(label))[label]
-        with np.errstate(over="ignore"):
-            total = np.zeros(len(label), np.uint64)
-            np.add.at(total, label, scramble(node.view(np.uint64)))
-            name = scramble(total[label] + size.astype(np.uint64))
-        keep = size > 1
-        return pa.table({"bucket": signed(name[keep]), "node": node[keep], "n": n[keep]})
+    def links(row: int, other: int) -> bool:
+        if not same(row, other):
+            return False
+        found.append((int(node[row]), int(node[other])))
+        return True
 
-    return expanded.groupBy("bucket", "i", "j").applyInArrow(run, "bucket long, node long, n long").distinct()
+    labels_of(n, side, cross, bits, s, links)
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def verified_links(expanded: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): links between members of a unit, as many as connect all that belong together."""
+def likely_links(expanded: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): pairs of a unit whose sizes and bitmaps allow a link, as many as connect all that may belong together."""
 
     def run(table: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
-        n, side, bits, order = unit_arrays(table, [bitmap(t) for t in sets])
-        sets = [sets[i] for i in order]
-        node = table.column("node").to_numpy()[order]
-        found: list[tuple[int, int]] = []
-
-        def links(a: int, b: int) -> bool:
-            small, large = (a, b) if len(sets[a]) <= len(sets[b]) else (b, a)
-            at = np.minimum(np.searchsorted(sets[large], sets[small]), len(sets[large]) - 1)
-            common = int((sets[large][at] == sets[small]).sum())
-            if common * (s.den + s.num) < s.num * int(n[a] + n[b]):
-                return False
-            found.append((int(node[a]), int(node[b])))
-            return True
-
-        labels_of(n, side, table.column("i")[0] != table.column("j")[0], bits, s, links)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        node, n, side = (table.column(c).to_numpy() for c in ("node", "n", "side"))
+        bits = [np.frombuffer(b, np.uint64) for b in table.column("bitmap").to_pylist()]
+        order = np.lexsort((node, n))
+        cross = table.column("i")[0] != table.column("j")[0]
+        return spanning(node[order], n[order], side[order], Bitmaps([bits[i] for i in order]), cross, s, lambda row, other: True)
 
-    return expanded.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
+    return expanded.groupBy("bucket", "i", "j").applyInArrow(run, LINKS)
 
 
-def node_sets(documents: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(node, tokens) of the wanted nodes (doc_id, node), from the texts of one document each."""
+def verified_links(expanded: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): links of a unit (bucket, i, j, side, node, text), as many as connect all that belong together."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(text_sets(batch.column(1), s.words))
-            names = [xxhash.xxh3_64_intdigest(t.tobytes()) - (1 << 63) for t in sets]
-            keep = [i for i, (a, b) in enumerate(zip(names, batch.column(0).to_pylist())) if a == b]
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in keep], pa.int64()),
-                                              pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "tokens"])
+    def run(table: pa.Table) -> pa.Table:
+        want, side = table.column("node").to_pylist(), table.column("side").to_numpy()
+        sets: dict[int, tuple[int, np.ndarray]] = {}
+        for i, tokens in enumerate(text_sets(table.column("text").combine_chunks(), s.words)):
+            if name_of(tokens) == want[i]:  # else another text with the same id
+                sets[want[i]] = (i, tokens)
+        kept = sorted(sets.items(), key=lambda x: (len(x[1][1]), x[0]))
+        if len(kept) < 2:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        node = np.array([k for k, _ in kept], np.int64)
+        tokens = [t for _, (_, t) in kept]
+        n = np.array([len(t) for t in tokens], np.int64)
+
+        def same(row: int, other: int) -> bool:
+            small, large = (row, other) if n[row] <= n[other] else (other, row)
+            at = np.minimum(np.searchsorted(tokens[large], tokens[small]), n[large] - 1)
+            common = int((tokens[large][at] == tokens[small]).sum())
+            return common * (s.den + s.num) >= s.num * int(n[row] + n[other])
+
+        bits = Bitmaps([bitmap(t, wide(len(t))).view(np.uint64) for t in tokens])
+        cross = table.column("i")[0] != table.column("j")[0]
+        return spanning(node, n, side[[i for _, (i, _) in kept]], bits, cross, s, same)
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("t_id"), "text")
-    texts = rows.join(wanted, F.col("t_id").eqNullSafe(F.col("doc_id"))).select("node", "text")
-    return texts.mapInArrow(run, "node long, tokens binary").dropDuplicates(["node"])
+    return expanded.groupBy("bucket", "i", "j").applyInArrow(run, LINKS)
 
 
 def placed(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -350,12 +385,23 @@ def placed(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     met = group_buckets(token_rows(nodes), s).unionByName(crowded)
     expanded = settle(met.withColumnRenamed("grp", "b_grp").join(bitmaps.drop("bitmap"), F.col("b_grp") == F.col("grp"))
                       .select("bucket", "node", "n"), "jaccard-buckets")
+    # bitmaps of one size first, as a node stands in many buckets; then, once per node, bitmaps as wide as its set asks for
     bits = bitmaps.select(F.col("node").alias("m_node"), "bitmap")
-    likely = settle(likely_buckets(units(expanded).join(bits, F.col("node") == F.col("m_node")).drop("m_node"), s), "jaccard-likely")
-    owners = (nodes.join(likely.select(F.col("node").alias("l_node")).distinct(), F.col("node") == F.col("l_node"), "left_semi")
-              .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "node"))
-    sets = settle(node_sets(documents, owners, s), "jaccard-sets").withColumnRenamed("node", "s_node")
-    links = verified_links(units(likely).join(sets, F.col("node") == F.col("s_node")).drop("s_node"), s)
+    dealt = units(expanded, F.lit(1), CHUNK).join(bits, F.col("node") == F.col("m_node"))
+    met_again = settle(components(likely_links(dealt, s)), "jaccard-met").select("node", F.col("root").alias("bucket"))
+    sized = settle(nodes.filter("bitmap IS NOT NULL").join(met_again.withColumnRenamed("node", "m_node"), F.col("node") == F.col("m_node"))
+                   .groupBy("bucket", "node", "n").agg(F.first(F.coalesce("wide", "bitmap")).alias("bitmap")), "jaccard-wide")
+    dealt = (units(sized.select("bucket", "node", "n"), F.col("n"), 8 * CHUNK_SHINGLES)
+             .join(sized.select(F.col("node").alias("m_node"), "bitmap"), F.col("node") == F.col("m_node")))
+    likely = settle(components(likely_links(dealt, s)), "jaccard-likely").select(F.col("node").alias("l_node"), F.col("root").alias("bucket"))
+    # one document of each node that may link with another, its text moved once (or once per pair of chunks)
+    owners = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    owners = settle(owners.join(likely, F.col("node") == F.col("l_node")).select("bucket", "node", "n", "doc_id"), "jaccard-owners")
+    names = owners.select(F.col("node").alias("o_node"), F.col("doc_id").alias("o_doc_id"))
+    placed_in = units(owners, F.col("n"), CHUNK_SHINGLES).join(names, F.col("node") == F.col("o_node"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("t_id"), "text")
+    links = verified_links(texts.join(placed_in, F.col("t_id").eqNullSafe(F.col("o_doc_id")))
+                           .select("bucket", "i", "j", "side", "node", "text"), s)
     roots = settle(components(links), "jaccard-roots").select(F.col("node").alias("r_node"), "root")
     return (nodes.select("doc_id", "text_hash", "n", "node").join(roots, F.col("node") == F.col("r_node"), "left")
             .select("doc_id", "text_hash", "n", F.coalesce("root", "node").alias("root")))
