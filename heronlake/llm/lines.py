@@ -8,7 +8,8 @@ line number), so no content is lost.
 
 Defined cases: null text stays null and has no lines; an empty text has one empty line; blank lines are never removed; a
 null site is a site of its own; a null id comes last in the order of first occurrences; rows that share an id are told
-apart by nothing else, so each of them keeps the first occurrence; an empty table gives no rows.
+apart by their texts only, so each loses its own boilerplate lines and all of them keep a first occurrence at the same
+line number; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,13 +31,13 @@ def _key(line: Column) -> Column:
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
-    """(doc_id, site, line_no, key) of every line that is not blank."""
-    lines = documents.select("doc_id", F.col("source").alias("site"),
+    """(doc_id, text_key, site, line_no, key) of every line that is not blank."""
+    lines = documents.select("doc_id", _key(F.col("text")).alias("text_key"), F.col("source").alias("site"),
                              F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return (lines.withColumn("line", F.when(F.col("line").rlike(r"^[\x20\x09-\x0D]|[\x20\x09-\x0D]$"), line).otherwise(F.col("line")))
             .filter("line <> ''")
-            .select("doc_id", "site", "line_no", _key(F.col("line")).alias("key")))
+            .select("doc_id", "text_key", "site", "line_no", _key(F.col("line")).alias("key")))
 
 
 def wide_lines(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
@@ -58,22 +59,25 @@ def wide_lines(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, ba
 
 
 def removed_lines(rows: DataFrame, wide: DataFrame) -> DataFrame:
-    """Per document the numbers of the lines to remove."""
+    """Per document the numbers of the lines to remove. Rows with one id and different texts are different documents; rows
+    with one id and one text lose the same lines."""
     w = wide.select(F.col("key").alias("wide_key"), "first")
     again = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no")))
     return (rows.join(w, F.col("key") == F.col("wide_key")).filter(again)
-            .groupBy("doc_id").agg(F.collect_set("line_no").alias("removed")))
+            .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")))
 
 
 def without_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """The documents with boilerplate lines taken out of text; adds _n_lines and _n_removed."""
     rows = line_rows(documents)
     wide = settle(wide_lines(rows, min_sites, lg_k), "line-wide")
-    gone = removed_lines(rows, wide).select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
+    gone = removed_lines(rows, wide).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"),
+                                            F.col("removed").alias("_gone"))
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (_key(F.col("text")) == F.col("_gone_key"))
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     return (
-        documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left")
+        documents.join(gone, same, "left")
         .withColumn("_n_lines", F.coalesce(F.size(F.when(F.col("text").isNotNull(), lines)), F.lit(0)).cast("long"))
         .withColumn("_n_removed", F.when(F.col("text").isNull() | F.col("_gone").isNull(), 0).otherwise(
             F.size(F.array_intersect("_gone", F.sequence(F.lit(0), F.col("_n_lines").cast("int"))))).cast("long"))

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from heronlake.llm import chat, jaccard, langid, lines, lzprint, mixing, packing, suffixes, topk, toxicity
 from heronlake.sources.tables import table
 from tests.llm import plain
@@ -214,6 +215,23 @@ def test_lines_difficult(messy, nothing):
     assert lines.dedup(nothing).count() == 0
 
 
+def test_lines_of_rows_with_one_id(spark):
+    """Different texts under one id and under null ids lose only their own boilerplate lines."""
+    menu = [(i, f"own {i}\nmenu\nfoot", f"s{i}") for i in range(12)]
+    rows = menu + [(50, "menu\na\nb\nfoot", "s1"), (50, "c\nd\nmenu\ne", "s2"), (50, "f\ng\nh\ni", "s3"),
+                   (None, "k\nmenu\nl\nm", "s4"), (None, "n\no\nfoot\nmenu", None), (None, "menu\nfoot", "s5"),
+                   (None, "p\nq\nr\ns", "s6"), (None, "p\nq\nr\ns", "s7"), (None, None, "s8"), (50, "menu\na\nb\nfoot", "s9")]
+    df = spark.createDataFrame([(*r[:2], None, r[2], None) for r in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = lines.dedup(df).collect()
+    want = plain.without_boilerplate(rows, 10)
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(((r[0], t) for r, t in zip(rows, want)), key=repr)
+    assert sum(r.n_removed for r in got) == sum(len(r[1].split("\n")) - len(t.split("\n")) if t else 2
+                                                for r, t in zip(rows, want) if r[1] is not None)
+    kept = corpus_pipeline.line_dedup(spark, df, "/nowhere").collect()
+    assert sorted((r.text for r in kept), key=repr) == sorted((t for t in want if t != ""), key=repr)
+
+
 @pytest.mark.parametrize("lg_k", [4, 12])
 def test_lines_near_the_threshold_are_exact(spark, lg_k):
     """Lines on 30 to 70 sites, with a threshold of 50 and sketches that err by a quarter: none may be decided wrongly."""
