@@ -5,16 +5,21 @@ A byte is removed if it lies in a string of `length` (50) bytes that also starts
 1. Documents are written once as compressed blocks of a few megabytes (`blocks`); exact copies are found by a 128-bit hash.
 2. Suffixes are taken at synchronizing positions only: in every string of 50 bytes the seed (25 bytes) with the least
    hash starts a suffix. Equal strings choose equal positions, so no repeat is missed; about one suffix in 13 is left.
-3. A sieve keeps suffixes whose seed occurs in two documents: the blocks send sorted seed hashes by hash range and get one
-   bit for each back. A hash met by chance costs time but changes nothing.
-4. The suffixes that are left (with the 25 bytes before them) go to buckets by sampled splitters on their seeds, equal
-   seeds to one bucket. A bucket sorts them by a multikey sort of 8-byte words; neighbours with equal seeds are runs, and
-   as borders never part equal seeds, no run goes on in the next bucket. Within the runs every string of 50 bytes around
-   a seed is compared, byte by byte, and the least document that holds it is found.
-5. The intervals go back to the blocks, are merged, and the rest of each document is hashed.
-
-A passage that a third of all documents share is one row per block, not per document, when it reaches its bucket; the
-same holds for exact copies. Nothing is collected but the splitters (a bounded sample).
+3. A sieve keeps suffixes whose seed occurs in two documents: the blocks send sorted seed hashes by hash range, with their
+   counts, and get two bits for each back. A hash met by chance costs time but changes nothing.
+4. A block keeps the places of the suffixes that are left and sends each distinct context (25 bytes before the suffix, 50
+   from it on) once, with the least id that has it. Contexts go to buckets by sampled splitters on their seeds, equal
+   seeds to one bucket; there are as many buckets as the number of suffixes left asks for. A bucket sorts them by a
+   multikey sort of 8-byte words; neighbours with equal seeds are runs, and as borders never part equal seeds, no run goes
+   on in the next bucket. Within the runs every string of 50 bytes around a seed is compared, byte by byte, and the least
+   document that holds it is found. Runs are taken in pieces.
+5. Seeds with more than `HOT` occurrences go to no bucket: every distinct string of 50 bytes around them is a row per block
+   of an aggregation that finds its least id, so neither their documents nor their contexts meet in one task.
+6. A block gets for each context how far to remove before and after the suffix, finds the same contexts again, and hashes
+   the rest of each document.
+
+A passage that a third of all documents share is one row per block and string, not per document; the same holds for exact
+copies. Nothing is collected but the splitters (a bounded sample) and totals.
 
 Defined cases: null text is the empty text; texts shorter than 50 bytes lose nothing; a null id counts as larger than all
 others and is returned as null; rows with the same id do not remove from each other; an empty table gives no rows.
@@ -41,6 +46,10 @@ SEED = 25
 BLOCK_BYTES = 4 << 20
 #: Contexts that are gathered at a time.
 PIECE = 16_384
+#: Seeds per part of the sieve, suffixes per bucket, and contexts that a bucket compares at a time.
+SIEVE_SEEDS, BUCKET_SUFFIXES, RUNS_PIECE = 1 << 21, 1 << 19, 1 << 16
+#: A seed with more occurrences than this is settled string by string instead of in a bucket.
+HOT = 1 << 16
 #: Blocks and seeds per block that the splitters are sampled from.
 SAMPLE_BLOCKS, SAMPLE_SEEDS = 64, 1_000
 BASE = 0x9E3779B97F4A7C15
@@ -127,6 +136,21 @@ class Block:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
+    def passed(self, replies: dict[int, bytes], sieve: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, place, seed hash, hot) of the suffixes that passed the sieve."""
+        doc, place, seed = self.suffixes()
+        distinct, back = np.unique(sieve_key(seed, sieve), return_inverse=True)
+        part = (distinct >> np.uint64(32)).astype(np.int64)
+        bits = np.zeros((2, len(distinct)), bool)
+        for p, payload in replies.items():
+            if p >= 0:
+                a, b = np.searchsorted(part, [p, p + 1])
+                both = np.frombuffer(payload, np.uint8).reshape(2, -1)
+                bits[:, a:b] = np.unpackbits(both, axis=1, count=b - a)
+        keep = bits[0][back]
+        return doc[keep], place[keep], seed[keep], bits[1][back][keep]
+
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -169,8 +193,8 @@ def sieve_key(seed: np.ndarray, parts: int) -> np.ndarray:
 
 
 def seed_rows(made: DataFrame, parts: int) -> DataFrame:
-    """(part, block, hashes, shared): the distinct seed hashes of a block in a part of the sieve, in order, and a bit for
-    each that says whether two documents of the block have it."""
+    """(part, block, hashes, shared, counts): the distinct seed hashes of a block in a part of the sieve, in order, a bit for
+    each that says whether two documents of the block have it, and how often it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,10 +208,10 @@ def seed_rows(made: DataFrame, parts: int) -> DataFrame:
                 key, doc = key[order], doc[order]
                 start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                 shared = np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start)
-                key = key[start]
+                key, count = key[start], np.diff(np.append(start, len(key))).astype(np.uint32)
                 part = (key >> np.uint64(32)).astype(np.int64)
                 cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
-                rows = [[], [], [], []]
+                rows = [[], [], [], [], []]
                 for a, b in zip(cut[:-1], cut[1:]):
                     value = (key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                     step = np.diff(value, prepend=np.uint32(0))
@@ -195,20 +219,28 @@ def seed_rows(made: DataFrame, parts: int) -> DataFrame:
                     rows[1].append(block.number)
                     rows[2].append(step.view(np.uint8).reshape(-1, 4).T.tobytes())  # by byte planes, which compress
                     rows[3].append(np.packbits(shared[a:b]).tobytes())
+                    rows[4].append(count[a:b].view(np.uint8).reshape(-1, 4).T.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()),
-                                                  pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.binary())],
-                                                 ["part", "block", "hashes", "shared"])
+                                                  pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.binary()),
+                                                  pa.array(rows[4], pa.binary())],
+                                                 ["part", "block", "hashes", "shared", "counts"])
+
+    return made.mapInArrow(run, "part int, block long, hashes binary, shared binary, counts binary")
 
-    return made.mapInArrow(run, "part int, block long, hashes binary, shared binary")
 
+def from_planes(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
 
-def shared_bits(rows: DataFrame) -> DataFrame:
-    """(block, part, payload): for each hash a block sent, whether two documents have it."""
+
+def shared_bits(rows: DataFrame, hot: int) -> DataFrame:
+    """(block, part, payload, n, n_hot): for each hash a block sent, whether two documents have it, and whether it occurs more
+    than `hot` times; the number of the block's suffixes with such hashes, by seeds that are not hot and that are."""
 
     def run(table: pa.Table) -> pa.Table:
-        values, counts, inside = [], [], []
-        for planes, bits in zip(table.column("hashes").to_pylist(), table.column("shared").to_pylist()):
-            step = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+        values, counts, inside, times = [], [], [], []
+        for planes, bits, occur in zip(*(table.column(c).to_pylist() for c in ("hashes", "shared", "counts"))):
+            step = from_planes(planes)
+            times.append(from_planes(occur))
             values.append(np.cumsum(step, dtype=np.uint32))
             counts.append(len(step))
             inside.append(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(step)).astype(bool))
@@ -219,18 +251,26 @@ def shared_bits(rows: DataFrame) -> DataFrame:
         twice = np.zeros(len(every), bool)
         twice[order] = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         twice |= np.concatenate(inside)
+        times = np.concatenate(times)
+        start = np.flatnonzero(np.concatenate([[True], ~same]))
+        often = np.empty(len(every), bool)
+        often[order] = np.repeat(np.add.reduceat(times[order].astype(np.int64), start) > hot, np.diff(np.append(start, len(every))))
+        often &= twice
         cuts = np.cumsum([0, *counts])
         keep = [i for i in range(len(counts)) if twice[cuts[i]:cuts[i + 1]].any()]
         return pa.table({
             "block": table.column("block").take(pa.array(keep, pa.int64())),
             "part": table.column("part").take(pa.array(keep, pa.int64())),
-            "payload": pa.array([np.packbits(twice[cuts[i]:cuts[i + 1]]).tobytes() for i in keep], pa.binary())})
+            "payload": pa.array([np.packbits(twice[cuts[i]:cuts[i + 1]]).tobytes()
+                                 + np.packbits(often[cuts[i]:cuts[i + 1]]).tobytes() for i in keep], pa.binary()),
+            **{name: pa.array([int(times[cuts[i]:cuts[i + 1]][which[cuts[i]:cuts[i + 1]]].sum()) for i in keep], pa.int64())
+               for name, which in (("n", twice & ~often), ("n_hot", often))}})
 
-    return rows.groupBy("part").applyInArrow(run, "block long, part int, payload binary")
+    return rows.groupBy("part").applyInArrow(run, "block long, part int, payload binary, n long, n_hot long")
 
 
-#: Marks replies that tell of exact copies.
-COPIES = -1
+#: Marks replies that tell of exact copies, of strings around hot seeds, and (less the bucket) of contexts in a bucket.
+COPIES, STRINGS, BUCKETS = -1, -2, -3
 
 
 def copy_replies(made: DataFrame) -> DataFrame:
@@ -271,20 +311,22 @@ def with_replies(made: DataFrame, replies: DataFrame) -> DataFrame:
     return made.join(lists.withColumnRenamed("block", "r_block"), F.col("block") == F.col("r_block"), "left").drop("r_block")
 
 
-def sampled_splitters(made: DataFrame, parts: int) -> np.ndarray:
-    """Borders between buckets: quantiles of the seeds of a bounded sample."""
+def sampled_splitters(joined: DataFrame, sieve: int, parts: int) -> np.ndarray:
+    """Borders between buckets: quantiles of the seeds of a bounded sample of the suffixes that passed the sieve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 block = Block(row)
-                _, place, seed = block.suffixes()
-                place = place[np.argsort(seed, kind="stable")[:SAMPLE_SEEDS]]
+                replies = {r["part"]: r["payload"] for r in row["replies"] or []}
+                _, place, seed, often = block.passed(replies, sieve)
+                place, seed = place[~often], seed[~often]
+                place = place[np.argsort(scramble(seed + np.uint64(block.number)), kind="stable")[:SAMPLE_SEEDS]]
                 lead = block.body[place[:, None] + np.arange(SEED)]
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in lead], pa.binary())], ["lead"])
 
-    some = made.orderBy(F.xxhash64("block")).select("block").limit(SAMPLE_BLOCKS)
-    rows = made.join(F.broadcast(some.withColumnRenamed("block", "s_block")), F.col("block") == F.col("s_block"), "left_semi")
+    some = joined.orderBy(F.xxhash64("block")).select("block").limit(SAMPLE_BLOCKS)
+    rows = joined.join(F.broadcast(some.withColumnRenamed("block", "s_block")), F.col("block") == F.col("s_block"), "left_semi")
     lead = sorted(r["lead"] for r in rows.mapInArrow(run, "lead binary").collect())  # SAMPLE_BLOCKS * SAMPLE_SEEDS at most
     return np.array([lead[i * len(lead) // parts] for i in range(1, parts)] if lead else [], f"S{SEED}")
 
@@ -293,66 +335,121 @@ CONTEXT = LENGTH - SEED  # bytes before a suffix that may belong to the same str
 WIDTH = CONTEXT + LENGTH
 
 
-def suffix_rows(joined: DataFrame, parts: int, splitters: np.ndarray) -> DataFrame:
-    """(bucket, block, payload): the suffixes of a block that passed the sieve, one for each distinct context, with all
-    the places where it stands."""
+class Contexts:
+    """The distinct contexts of the suffixes of a block that passed the sieve, by bucket (-1: hot), and where they stand.
+    Made twice, to send the contexts and to use the answers, with the same result."""
+
+    def __init__(self, block: Block, replies: dict[int, bytes], sieve: int, splitters: np.ndarray) -> None:
+        firsts = first_ids(replies.get(COPIES, b""))
+        doc, place, _, often = block.passed(replies, sieve)
+        original = np.array([firsts.get(k, i) >= i for k, i in zip(block.keys, block.ids.tolist())], bool)
+        keep = original[doc]  # exact copies of earlier texts go as a whole
+        doc, place, often = doc[keep], place[keep], often[keep]
+        padded = np.concatenate([np.zeros(CONTEXT, np.uint8), block.body, np.zeros(LENGTH, np.uint8)])
+        whole = np.empty((len(place), WIDTH + 2), np.uint8)
+        column = np.arange(WIDTH)
+        for i in range(0, len(place), PIECE):  # the places of all bytes at once would take eight times the bytes
+            at, of = place[i:i + PIECE], doc[i:i + PIECE]
+            context = padded[at[:, None] + column]
+            before = np.minimum(at - block.starts[of], CONTEXT)
+            after = np.minimum(block.ends[of] - at, LENGTH)
+            context[(column < CONTEXT - before[:, None]) | (column >= CONTEXT + after[:, None])] = 0
+            whole[i:i + PIECE, :WIDTH], whole[i:i + PIECE, WIDTH], whole[i:i + PIECE, WIDTH + 1] = context, before, after
+        lead = np.ascontiguousarray(whole[:, CONTEXT:CONTEXT + SEED]).view(f"S{SEED}").ravel()
+        bucket = np.searchsorted(splitters, lead, side="right") if len(splitters) else np.zeros(len(doc), np.int64)
+        bucket = np.where(often, -1, bucket)
+        name = whole.view(f"V{WIDTH + 2}").ravel()
+        order = np.lexsort((block.ids[doc], hash_rows(whole), bucket))
+        name, bucket = name[order], bucket[order]
+        new = np.concatenate([[True], (name[1:] != name[:-1]) | (bucket[1:] != bucket[:-1])]) if len(order) else np.zeros(0, bool)
+        #: Of every occurrence, in order of context and id.
+        self.doc, self.place, self.of = doc[order], place[order], np.cumsum(new) - 1
+        #: Of every context: bytes, bytes inside the document before and after the suffix, least id, bucket.
+        self.whole, self.bucket, self.owner = whole[order[new]], bucket[new], block.ids[self.doc[new]]
+        self.before, self.after = self.whole[:, WIDTH].astype(np.int64), self.whole[:, WIDTH + 1].astype(np.int64)
+
+    def cuts(self) -> Iterator[tuple[int, slice]]:
+        """The contexts of each bucket."""
+        cut = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1], [True]])) if len(self.bucket) else []
+        for a, b in zip(cut[:-1], cut[1:]):
+            yield int(self.bucket[a]), slice(a, b)
+
+    def strings(self, hot: slice) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(o, contexts, strings): the strings of LENGTH bytes that start o bytes before the suffix."""
+        for o in range(CONTEXT + 1):
+            ok = np.flatnonzero((self.before[hot] >= o) & (self.after[hot] >= LENGTH - o)) + hot.start
+            if len(ok):
+                yield o, ok, np.ascontiguousarray(self.whole[ok, CONTEXT - o:CONTEXT - o + LENGTH]).view(f"S{LENGTH}").ravel()
+
+    def removals(self, replies: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes (before, after) the suffix to remove where its context's least id stands; the first is -1 where none are."""
+        left, right = np.full(len(self.bucket), -1, np.int64), np.zeros(len(self.bucket), np.int64)
+        for bucket, at in self.cuts():
+            if bucket < 0:
+                known = np.frombuffer(replies.get(STRINGS, b""), np.dtype([("text", f"S{LENGTH}"), ("first", ">i8")]))
+                known = known[np.argsort(known["text"], kind="stable")]
+                for o, ok, text in self.strings(at) if len(known) else ():
+                    found = np.minimum(np.searchsorted(known["text"], text), len(known) - 1)
+                    hit = ok[(known["text"][found] == text) & (known["first"][found] < self.owner[ok])]
+                    right[hit] = np.where(left[hit] < 0, LENGTH - o, right[hit])
+                    left[hit] = o
+            elif BUCKETS - bucket in replies:
+                both = np.frombuffer(replies[BUCKETS - bucket], np.int8).reshape(2, -1)
+                left[at], right[at] = both[0], both[1]
+        return left, right
+
+
+def suffix_rows(joined: DataFrame, sieve: int, splitters: np.ndarray) -> DataFrame:
+    """(bucket, block, payload): the distinct contexts of a block in a bucket, each with its least id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for row in rows_of(batch):
                 replies = {r["part"]: r["payload"] for r in row["replies"] or []}
-                firsts = first_ids(replies.pop(COPIES, b""))
-                if not replies:
+                if not any(part >= 0 for part in replies):
                     continue
                 block = Block(row)
-                doc, place, seed = block.suffixes()
-                key = sieve_key(seed, parts)
-                distinct, back = np.unique(key, return_inverse=True)
-                part = (distinct >> np.uint64(32)).astype(np.int64)
-                passed = np.zeros(len(distinct), bool)
-                for p, payload in replies.items():
-                    a, b = np.searchsorted(part, [p, p + 1])
-                    passed[a:b] = np.unpackbits(np.frombuffer(payload, np.uint8), count=b - a).astype(bool)
-                original = np.array([firsts.get(k, i) >= i for k, i in zip(block.keys, block.ids.tolist())], bool)
-                keep = passed[back] & original[doc]  # exact copies of earlier texts go as a whole
-                doc, place = doc[keep], place[keep]
-                if not len(doc):
-                    continue
-                padded = np.concatenate([np.zeros(CONTEXT, np.uint8), block.body, np.zeros(LENGTH, np.uint8)])
-                context = np.empty((len(place), WIDTH), np.uint8)
-                for i in range(0, len(place), PIECE):  # the places of all bytes at once would take eight times the bytes
-                    context[i:i + PIECE] = padded[place[i:i + PIECE, None] + np.arange(WIDTH)]
-                before = np.minimum(place - block.starts[doc], CONTEXT).astype(np.uint8)
-                after = np.minimum(block.ends[doc] - place, LENGTH).astype(np.uint8)
-                column = np.arange(WIDTH)
-                context[(column < CONTEXT - before[:, None]) | (column >= CONTEXT + after[:, None].astype(np.int64))] = 0
-                bucket = np.searchsorted(splitters, np.ascontiguousarray(context[:, CONTEXT:CONTEXT + SEED]).view(f"S{SEED}").ravel(),
-                                         side="right") if len(splitters) else np.zeros(len(doc), np.int64)
-                whole = np.ascontiguousarray(np.concatenate([context, before[:, None], after[:, None]], axis=1))
-                name = whole.view(f"V{WIDTH + 2}").ravel()
-                order = np.lexsort((block.ids[doc], hash_rows(whole), bucket))
-                name, bucket, doc, place = name[order], bucket[order], doc[order], place[order]
-                whole = whole[order]
-                new = np.concatenate([[True], name[1:] != name[:-1]])
-                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                rows = [[], [], []]
-                for a, b in zip(cut[:-1], cut[1:]):
-                    heads = np.flatnonzero(new[a:b] | (np.arange(b - a) == 0))
-                    times = np.diff(np.append(heads, b - a)).astype(np.uint32)
-                    payload = (np.array([len(heads), b - a], np.uint32).tobytes()
-                               + np.ascontiguousarray(whole[a:b][heads]).tobytes() + times.tobytes()
-                               + block.ids[doc[a:b]].tobytes() + doc[a:b].astype(np.uint32).tobytes()
-                               + (place[a:b] - block.starts[doc[a:b]]).astype(np.uint32).tobytes())
-                    rows[0].append(int(bucket[a]))
-                    rows[1].append(block.number)
-                    rows[2].append(pack.compress(payload))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()),
-                                                  pa.array(rows[2], pa.binary())], ["bucket", "block", "payload"])
+                mine = Contexts(block, replies, sieve, splitters)
+                rows = [(bucket, block.number, pack.compress(mine.whole[at].tobytes() + mine.owner[at].tobytes()))
+                        for bucket, at in mine.cuts() if bucket >= 0]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))],
+                                                     ["bucket", "block", "payload"])
 
     return joined.mapInArrow(run, "bucket int, block long, payload binary")
 
 
+def string_replies(joined: DataFrame, sieve: int, splitters: np.ndarray) -> DataFrame:
+    """(block, part, payload): strings around hot seeds whose least id is smaller than an owner's in the block, and that id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in rows_of(batch):
+                block = Block(row)
+                mine = Contexts(block, {r["part"]: r["payload"] for r in row["replies"] or []}, sieve, splitters)
+                for _, at in (c for c in mine.cuts() if c[0] < 0):
+                    for _, ok, text in mine.strings(at):
+                        order = np.lexsort((mine.owner[ok], text))
+                        text, owner = text[order], mine.owner[ok][order]
+                        start = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+                        last = np.append(start[1:], len(text)) - 1
+                        raw = text[start].tobytes()
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(start), block.number)),
+                             pa.array([raw[i:i + LENGTH] for i in range(0, len(raw), LENGTH)], pa.binary()),
+                             pa.array(owner[start]), pa.array(owner[last])], ["block", "text", "least", "most"])
+
+    mine = settle(joined.mapInArrow(run, "block long, text binary, least long, most long")
+                  .groupBy("block", "text").agg(F.min("least").alias("least"), F.max("most").alias("most")), "suffix-strings")
+    every = mine.groupBy("text").agg(F.min("least").alias("first"), F.max("most").alias("last")).filter("first < last")
+    found = (mine.join(every.select(F.col("text").alias("e_text"), "first"), F.col("text") == F.col("e_text"))
+             .filter(F.col("most") > F.col("first")))
+    eight = F.unhex(F.lpad(F.hex(F.col("first")), 16, "0"))
+    return (found.groupBy("block").agg(F.collect_list(F.hex(F.concat("text", eight))).alias("payloads"))
+            .select("block", F.lit(STRINGS).alias("part"), F.unhex(F.concat_ws("", "payloads")).alias("payload")))
+
+
 def hash_rows(rows: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each row of bytes."""
     total = np.zeros(len(rows), np.uint64)
@@ -398,7 +495,7 @@ def least_owner(strings: np.ndarray, rolled: np.ndarray, owner: np.ndarray) -> n
     return out
 
 
-def repeated(context: np.ndarray, before: np.ndarray, after: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated(context: np.ndarray, before: np.ndarray, after: np.ndarray, owner: np.ndarray, piece: int = RUNS_PIECE) -> tuple[np.ndarray, np.ndarray]:
     """Bytes (before, after) each suffix to remove because some string of LENGTH bytes around it has a smaller owner; the
     first is -1 where there is none. owner is the least document with that context."""
     n = len(owner)
@@ -409,9 +506,19 @@ def repeated(context: np.ndarray, before: np.ndarray, after: np.ndarray, owner:
     run = np.cumsum(new) - 1
     many = np.zeros(n, bool)
     many[order] = (np.bincount(run)[run] > 1) if n else False
-    at = np.flatnonzero(many)
-    if not len(at):
-        return left, right
+    at = order[many[order]]
+    size = np.bincount(run)[run[many[order]]]
+    start = np.flatnonzero(np.concatenate([[True], np.diff(run[many[order]]) > 0])) if len(at) else np.zeros(0, np.int64)
+    label = (np.cumsum(size[start]) - size[start]) // piece
+    cut = np.append(start[np.flatnonzero(np.diff(label, prepend=-1))], len(at))
+    for a, b in zip(cut[:-1], cut[1:]):  # whole runs, about `piece` contexts at a time
+        compare_runs(context, before, after, owner, at[a:b], left, right)
+    return left, right
+
+
+def compare_runs(context: np.ndarray, before: np.ndarray, after: np.ndarray, owner: np.ndarray, at: np.ndarray,
+                 left: np.ndarray, right: np.ndarray) -> None:
+    """Sets left and right of the contexts `at`, which are whole runs of equal seeds."""
     rows, ends_before, ends_after, owner = context[at], before[at].astype(np.int64), after[at].astype(np.int64), owner[at]
     up_to = np.zeros((len(at), WIDTH + 1), np.uint64)
     np.cumsum(rows * powers(BASE, WIDTH), axis=1, out=up_to[:, 1:])
@@ -424,42 +531,29 @@ def repeated(context: np.ndarray, before: np.ndarray, after: np.ndarray, owner:
         hit = ok[least_owner(rows[ok, a:a + LENGTH], rolled, owner[ok]) < owner[ok]]
         right[at[hit]] = np.where(left[at[hit]] < 0, LENGTH - o, right[at[hit]])
         left[at[hit]] = o
-    return left, right
 
 
 def intervals(rows: DataFrame) -> DataFrame:
-    """(block, part, payload): document, start and end of removed bytes."""
+    """(block, part, payload): for each context a block sent to a bucket, the bytes before and after the suffix to remove."""
 
     def run(table: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor()
-        contexts, times, ids, docs, places, numbers = [], [], [], [], [], []
-        for block, payload in zip(table.column("block").to_pylist(), table.column("payload").to_pylist()):
-            raw = unpack.decompress(payload)
-            m, n = np.frombuffer(raw, np.uint32, 2).astype(np.int64).tolist()
-            at = 8 + m * (WIDTH + 2)
-            contexts.append(np.frombuffer(raw, np.uint8, m * (WIDTH + 2), 8).reshape(m, WIDTH + 2))
-            times.append(np.frombuffer(raw, np.uint32, m, at))
-            ids.append(np.frombuffer(raw, np.int64, n, at + 4 * m))
-            docs.append(np.frombuffer(raw, np.uint32, n, at + 4 * m + 8 * n))
-            places.append(np.frombuffer(raw, np.uint32, n, at + 4 * m + 12 * n))
-            numbers.append(np.full(n, block))
-        context, times, ids, docs, places, numbers = map(np.concatenate, (contexts, times, ids, docs, places, numbers))
-        before, after = context[:, WIDTH].astype(np.int64), context[:, WIDTH + 1].astype(np.int64)
-        head = np.concatenate([[0], np.cumsum(times)[:-1]]).astype(np.int64)
-        owner = ids[head]  # places are in order of id
-        left, right = repeated(context[:, :WIDTH], before, after, owner)
-        of = np.repeat(np.arange(len(times)), times)
-        later = (ids > owner[of]) & ((before + after)[of] >= LENGTH)
-        start = np.where(later, before[of], left[of])
-        stop = np.where(later, after[of], right[of])
-        hit = start >= 0
-        order = np.flatnonzero(hit)[np.argsort(numbers[hit], kind="stable")]
-        block = numbers[order]
-        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(order) else np.zeros(1, np.int64)
-        found = np.stack([docs.astype(np.int64), places - start, places + stop])[:, order].astype(np.uint32)
+        contexts, owners, counts = [], [], []
+        for payload in table.column("payload"):
+            raw = unpack.decompress(payload.as_py())
+            m = len(raw) // (WIDTH + 10)
+            contexts.append(np.frombuffer(raw, np.uint8, m * (WIDTH + 2)).reshape(m, WIDTH + 2))
+            owners.append(np.frombuffer(raw, np.int64, m, m * (WIDTH + 2)))
+            counts.append(m)
+        context, owner = np.concatenate(contexts), np.concatenate(owners)
+        left, right = repeated(context[:, :WIDTH], context[:, WIDTH], context[:, WIDTH + 1], owner, RUNS_PIECE)
+        both = np.stack([left, right]).astype(np.int8)
+        cuts = np.cumsum([0, *counts])
+        keep = [i for i in range(len(counts)) if (both[0, cuts[i]:cuts[i + 1]] >= 0).any()]
+        part = BUCKETS - table.column("bucket")[0].as_py()
         return pa.table({
-            "block": pa.array(block[cut[:-1]], pa.int64()), "part": pa.array(np.zeros(len(cut) - 1, np.int32)),
-            "payload": pa.array([np.ascontiguousarray(found[:, a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
+            "block": table.column("block").take(pa.array(keep, pa.int64())), "part": pa.array([part] * len(keep), pa.int32()),
+            "payload": pa.array([np.ascontiguousarray(both[:, cuts[i]:cuts[i + 1]]).tobytes() for i in keep], pa.binary())})
 
     return rows.groupBy("bucket").applyInArrow(run, "block long, part int, payload binary")
 
@@ -467,21 +561,26 @@ def intervals(rows: DataFrame) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def kept(joined: DataFrame) -> DataFrame:
-    """The result row of every document from its block and the intervals found for it."""
+def kept(joined: DataFrame, sieve: int, splitters: np.ndarray) -> DataFrame:
+    """The result row of every document from its block and the answers for its contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 block = Block(row)
-                replies = row["replies"] or []
-                found = [np.frombuffer(r["payload"], np.uint32).reshape(3, -1).astype(np.int64)
-                         for r in replies if r["part"] != COPIES]
-                firsts = first_ids(b"".join(r["payload"] for r in replies if r["part"] == COPIES))
+                replies = {r["part"]: r["payload"] for r in row["replies"] or []}
+                firsts = first_ids(replies.get(COPIES, b""))
                 gone = np.zeros(len(block.body) + 1, np.int32)
-                for doc, start, stop in found:
-                    np.add.at(gone, block.starts[doc] + start, 1)
-                    np.add.at(gone, block.starts[doc] + stop, -1)
+                if any(part >= 0 for part in replies):
+                    mine = Contexts(block, replies, sieve, splitters)
+                    left, right = mine.removals(replies)
+                    later = (block.ids[mine.doc] > mine.owner[mine.of]) & ((mine.before + mine.after)[mine.of] >= LENGTH)
+                    start = np.where(later, mine.before[mine.of], left[mine.of])
+                    stop = np.where(later, mine.after[mine.of], right[mine.of])
+                    hit = start >= 0
+                    np.add.at(gone, (mine.place - start)[hit], 1)
+                    np.add.at(gone, (mine.place + stop)[hit], -1)
+                    del mine
                 gone = np.cumsum(gone)[:-1] > 0
                 out = []
                 for i, doc_id in enumerate(block.ids.tolist()):
@@ -505,9 +604,17 @@ TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
 def dedup(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fewest = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     made = settle(blocks(documents), "suffix-blocks")
     copies = settle(copy_replies(made), "suffix-copy-replies")
-    shared = shared_bits(seed_rows(made, parts))
-    found = suffix_rows(with_replies(made, shared.unionByName(copies)), parts, sampled_splitters(made, parts))
-    return kept(with_replies(made, intervals(found).unionByName(copies)))
+    sieve = max(fewest, -(-made.count() * BLOCK_BYTES // (13 * SIEVE_SEEDS)))
+    shared = settle(shared_bits(seed_rows(made, sieve), HOT), "suffix-shared")
+    total = shared.agg(F.sum("n").alias("n"), F.sum("n_hot").alias("n_hot")).first()
+    told = shared.select("block", "part", "payload").unionByName(copies)
+    joined = with_replies(made, told)
+    splitters = sampled_splitters(joined, sieve, max(fewest, -(-(total["n"] or 0) // BUCKET_SUFFIXES)))
+    answers = told.unionByName(intervals(suffix_rows(joined, sieve, splitters)))
+    if total["n_hot"]:
+        hot = shared.filter("n_hot > 0").select(F.col("block").alias("h_block"))
+        answers = answers.unionByName(string_replies(joined.join(hot, F.col("block") == F.col("h_block"), "left_semi"), sieve, splitters))
+    return kept(with_replies(made, answers), sieve, splitters)

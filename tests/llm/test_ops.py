@@ -416,6 +416,33 @@ def test_passages(messy, nothing, rows_of, monkeypatch):
     assert suffixes.dedup(nothing).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 3, 20])
+def test_passages_of_hot_seeds(messy, rows_of, monkeypatch, hot):
+    """Settled string by string or in buckets, in small pieces and blocks: always the same result."""
+    for name, value in {"HOT": hot, "RUNS_PIECE": 5, "BLOCK_BYTES": 3_000, "BUCKET_SUFFIXES": 40}.items():
+        assert hasattr(suffixes, name)
+        monkeypatch.setattr(suffixes, name, value)
+    assert rows_of(suffixes.dedup(messy)) == sorted(plain.removed_passages(texts(messy_rows())), key=repr)
+
+
+def test_buckets_do_not_grow_with_the_documents_of_a_passage(spark, rows_of, monkeypatch):
+    """A bucket gets a block's context once, however many documents hold it."""
+    sent, plainly = [], suffixes.intervals
+
+    def spy(rows):
+        unpack = suffixes.zstandard.ZstdDecompressor()
+        sent.append(sum(len(unpack.decompress(r.payload)) for r in rows.collect()))
+        return plainly(rows)
+
+    monkeypatch.setattr(suffixes, "intervals", spy)
+    passage, parts = " ".join(str(i * i) for i in range(100)), [" ".join(str(i ** 3 + k) for i in range(40, 60)) for k in range(4)]
+    for n in (64, 256):  # different documents whose borders between parts repeat as well
+        rows = [(i, "".join(parts[i * 11 % 256 >> k & 3] for k in (0, 2, 4, 6)) + passage) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        assert rows_of(suffixes.dedup(df)) == sorted(plain.removed_passages(rows), key=repr)
+    assert sent[1] < 1.5 * sent[0]
+
+
 @given(st.lists(st.binary(min_size=0, max_size=12), max_size=40))
 def test_multikey_order(rows):
     matrix = np.zeros((len(rows), 19), np.uint8)
