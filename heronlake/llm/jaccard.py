@@ -395,12 +395,14 @@ def placed(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
              .join(sized.select(F.col("node").alias("m_node"), "bitmap"), F.col("node") == F.col("m_node")))
     likely = settle(components(likely_links(dealt, s)), "jaccard-likely").select(F.col("node").alias("l_node"), F.col("root").alias("bucket"))
     # one document of each node that may link with another, its text moved once (or once per pair of chunks)
-    owners = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    owners = settle(owners.join(likely, F.col("node") == F.col("l_node")).select("bucket", "node", "n", "doc_id"), "jaccard-owners")
-    names = owners.select(F.col("node").alias("o_node"), F.col("doc_id").alias("o_doc_id"))
+    owners = nodes.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.max("n").alias("n"))
+    owners = settle(owners.join(likely, F.col("node") == F.col("l_node"))
+                    .select("bucket", "node", "n", "one.doc_id", "one.text_hash"), "jaccard-owners")
+    names = owners.select(F.col("node").alias("o_node"), F.col("doc_id").alias("o_doc_id"), F.col("text_hash").alias("o_hash"))
     placed_in = units(owners, F.col("n"), CHUNK_SHINGLES).join(names, F.col("node") == F.col("o_node"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("t_id"), "text")
-    links = verified_links(texts.join(placed_in, F.col("t_id").eqNullSafe(F.col("o_doc_id")))
+    texts = documents.select(F.col("doc_id").cast("long").alias("t_id"), "text", F.xxhash64("text").alias("t_hash"))
+    same = F.col("t_id").eqNullSafe(F.col("o_doc_id")) & (F.col("t_hash") == F.col("o_hash"))  # an id may stand for many texts
+    links = verified_links(texts.join(placed_in, same)
                            .select("bucket", "i", "j", "side", "node", "text"), s)
     roots = settle(components(links), "jaccard-roots").select(F.col("node").alias("r_node"), "root")
     return (nodes.select("doc_id", "text_hash", "n", "node").join(roots, F.col("node") == F.col("r_node"), "left")

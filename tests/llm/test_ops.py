@@ -326,6 +326,23 @@ def test_classes_in_chunks(messy, rows_of, monkeypatch):
     assert rows_of(jaccard.classes(messy)) == sorted(plain.classes(rows, 3, 90), key=repr)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_one_id_do_not_multiply(spark, rows_of, monkeypatch, doc_id):
+    """Each node that may link moves its own text only, also if all rows share an id or have none."""
+    moved, plainly = [], jaccard.verified_links
+
+    def spy(rows, s):
+        moved.append(rows.select("node").collect())
+        return plainly(rows, s)
+
+    monkeypatch.setattr(jaccard, "verified_links", spy)
+    rows = [(doc_id, " ".join(f"w{g}x{i}" for i in range(60 + k))) for g in range(10) for k in range(3)]
+    got = rows_of(jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")))
+    s = jaccard.Settings()
+    assert got == sorted(plain.classes(rows, s.words, s.num, s.den), key=repr)
+    assert len(moved[0]) == len({r.node for r in moved[0]}) == 30
+
+
 def test_bitmaps_never_drop_a_link():
     """Sets of 300 to 3,000 shingles, some near one another: whatever links passes the bound, and most of the rest does not."""
     rng, s = np.random.default_rng(2), jaccard.Settings()
