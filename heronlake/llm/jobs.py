@@ -7,7 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heronlake.llm import chat, jaccard, langid, lines, lzprint, mixing, packing, suffixes, topk, toxicity
+from heronlake.llm import (chat, jaccard, langid, lines, lzprint, mixing, packing, secretscan, suffixes, topk,
+                           toxicity)
 from heronlake.session import prepare
 from heronlake.sources.tables import table
 
@@ -78,3 +79,8 @@ def language_id(spark, sf_dir):
 @query("op10_suffix_dedup")
 def suffix_dedup(spark, sf_dir):
     return suffixes.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op11_secret_scan", secretscan.SQL)
+def secret_scan(spark, sf_dir):
+    return secretscan.digest(secretscan.find(table(spark, sf_dir, "documents")))
