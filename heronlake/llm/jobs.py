@@ -7,8 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heronlake.llm import (chat, jaccard, langid, lines, lzprint, mixing, packing, secretscan, suffixes, topk,
-                           toxicity)
+from heronlake.llm import (chat, jaccard, langid, lines, lzprint, merkle, mixing, packing, secretscan, spelling,
+                           suffixes, topk, toxicity)
 from heronlake.session import prepare
 from heronlake.sources.tables import table
 
@@ -84,3 +84,13 @@ def suffix_dedup(spark, sf_dir):
 @query("op11_secret_scan", secretscan.SQL)
 def secret_scan(spark, sf_dir):
     return secretscan.digest(secretscan.find(table(spark, sf_dir, "documents")))
+
+
+@query("op12_spelling_variants", spelling.SQL)
+def spelling_variants(spark, sf_dir):
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle_manifest", merkle.SQL)
+def merkle_manifest(spark, sf_dir):
+    return merkle.prove(table(spark, sf_dir, "documents"))
