@@ -37,7 +37,6 @@ from heronlake.session import settle
 FANOUT = 8
 #: Levels that a builder adds to the nodes it is given.
 LEVELS = 4
-BLOCK = FANOUT ** LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -85,11 +84,11 @@ def sibling_places(n: int, level: int, i: int) -> list[int]:
     return out
 
 
-def complete(n: int, level: int, first: int, digests: Sequence[str]) -> Iterator[tuple[int, int, int, str]]:
+def complete(n: int, level: int, first: int, digests: Sequence[str], levels: int = LEVELS) -> Iterator[tuple[int, int, int, str]]:
     """(position, level, index, digest) of nodes in order of completion: the given consecutive nodes of a level, which start at a
-    multiple of BLOCK, and all that they complete up to LEVELS levels above."""
-    top = min(level + LEVELS, depth(n))
-    unfinished: list[list[str]] = [[] for _ in range(LEVELS + 1)]
+    multiple of FANOUT ** levels, and all that they complete up to so many levels above."""
+    top = min(level + levels, depth(n))
+    unfinished: list[list[str]] = [[] for _ in range(levels + 1)]
     for at, text in enumerate(digests):
         here, i = level, first + at
         while True:
@@ -148,28 +147,32 @@ NODE = "tree long, n long, block long, level int, idx long, pos long, digest str
 NAMES = [c.split()[0] for c in NODE.split(", ")]
 
 
-def _build(level: int):
+def _block(levels: int) -> Column:
+    return F.floor(F.col("idx") / FANOUT ** levels).cast("long").alias("block")
+
+
+def _build(level: int, levels: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("idx")
         tree, n, block = (table.column(c)[0].as_py() for c in ("tree", "n", "block"))
         rows = [(tree, n, block, here, i, at, text)
-                for at, here, i, text in complete(n, level, block * BLOCK, table.column("digest").to_pylist())
+                for at, here, i, text in complete(n, level, block * FANOUT ** levels, table.column("digest").to_pylist(), levels)
                 if here > level or not level]  # the nodes given are in the log already, but for leaves
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
         return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], NAMES)
     return run
 
 
-def append_log(leaves: DataFrame) -> DataFrame:
+def append_log(leaves: DataFrame, levels: int = LEVELS) -> DataFrame:
     """The nodes (tree, n, block, level, idx, pos, digest) over leaves (tree, n, idx, digest); block is the builder's number
     among those that started on its level."""
     largest = leaves.agg(F.max("n")).first()[0] or 0
     given, level, parts = leaves, 0, []
     while True:
-        blocks = given.select("tree", "n", F.floor(F.col("idx") / BLOCK).cast("long").alias("block"), "idx", "digest")
-        log = settle(blocks.groupBy("tree", "block").applyInArrow(_build(level), NODE), "merkle-log")
+        blocks = given.select("tree", "n", _block(levels), "idx", "digest")
+        log = settle(blocks.groupBy("tree", "block").applyInArrow(_build(level, levels), NODE), "merkle-log")
         parts.append(log)
-        level += LEVELS
+        level += levels
         if FANOUT ** level >= largest:
             break
         given = log.filter((F.col("level") == level) & (F.col("n") > FANOUT ** level))
@@ -187,12 +190,12 @@ def roots(log: DataFrame) -> DataFrame:
 
 # --- proofs
 
-def _upper_siblings(log: DataFrame) -> DataFrame:
+def _upper_siblings(log: DataFrame, levels: int) -> DataFrame:
     """(tree, block, pos, digest): for every block of leaves the nodes that its proofs need from above it."""
-    blocks = log.filter(f"level = {LEVELS} and n > {BLOCK}").select("tree", "n", F.col("idx").alias("block"))
-    above = F.udf(lambda n, i: sibling_places(n, LEVELS, i), "array<long>")
+    blocks = log.filter(f"level = {levels} and n > {FANOUT ** levels}").select("tree", "n", F.col("idx").alias("block"))
+    above = F.udf(lambda n, i: sibling_places(n, levels, i), "array<long>")
     wanted = blocks.select("tree", "block", F.explode(above("n", "block")).alias("at"))
-    upper = log.filter(f"level >= {LEVELS}").select(F.col("tree").alias("of"), "pos", "digest")
+    upper = log.filter(f"level >= {levels}").select(F.col("tree").alias("of"), "pos", "digest")
     return wanted.join(upper, (F.col("tree") == F.col("of")) & (F.col("at") == F.col("pos"))).select("tree", "block", "pos", "digest")
 
 
@@ -209,13 +212,13 @@ def _climb(n: int, i: int, known: dict[int, str], runs: dict[tuple[int, int], li
 PROVED = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def proofs(leaves: DataFrame, log: DataFrame, top: DataFrame, trees: int, root: str) -> DataFrame:
+def proofs(leaves: DataFrame, log: DataFrame, top: DataFrame, trees: int, root: str, levels: int = LEVELS) -> DataFrame:
     """The proof of every leaf (tree, n, idx, doc_id, leaf, shown), folded from the leaf shown; top: log of the tree of subroots."""
-    own = log.filter(f"level < {LEVELS}").select("tree", "block", "pos", "digest")
-    near = own.unionByName(_upper_siblings(log)).withColumn("of_top", F.lit(False))
+    own = log.filter(f"level < {levels}").select("tree", "block", "pos", "digest")
+    near = own.unionByName(_upper_siblings(log, levels)).withColumn("of_top", F.lit(False))
     # the siblings of a subroot go to every block of its tree
     subroots = roots(log)
-    blocks = leaves.select("tree", F.floor(F.col("idx") / BLOCK).cast("long").alias("block")).distinct()
+    blocks = leaves.select("tree", _block(levels)).distinct()
     above = _top_siblings(top, trees).unionByName(subroots.select("tree", F.lit(-1).cast("long").alias("pos"), F.col("root").alias("digest")))
     far = (blocks.join(above.withColumnRenamed("tree", "of"), F.col("tree") == F.col("of"))
            .select("tree", "block", "pos", "digest", F.lit(True).alias("of_top")))
@@ -239,7 +242,7 @@ def proofs(leaves: DataFrame, log: DataFrame, top: DataFrame, trees: int, root:
         return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)],
                         [c.split()[0] for c in PROVED.split(", ")])
 
-    dealt = leaves.select("tree", F.floor(F.col("idx") / BLOCK).cast("long").alias("block"), "n", "idx", "doc_id", "leaf", "shown")
+    dealt = leaves.select("tree", _block(levels), "n", "idx", "doc_id", "leaf", "shown")
     return dealt.groupBy("tree", "block").cogroup(near.unionByName(far).groupBy("tree", "block")).applyInArrow(run, PROVED)
 
 
@@ -251,27 +254,27 @@ def _top_siblings(top: DataFrame, trees: int) -> DataFrame:
     return wanted.join(nodes, F.col("at") == F.col("pos")).select("tree", "pos", "digest")
 
 
-def manifest(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int, str | None]:
+def manifest(documents: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFrame, DataFrame, int, str | None]:
     """Leaves (tree, n, idx, doc_id, leaf, shown, lang), the log of all languages' trees, the log of the tree of subroots, the
     number of languages and the root (None for no rows)."""
     rows = numbered(leaf_rows(documents), ["lang"], ["doc_id", "leaf"], "idx")
     sizes = numbered(rows.groupBy("lang").agg(F.max(F.col("idx") + 1).alias("n")), [], ["lang"], "tree")
     sizes = settle(sizes.withColumnRenamed("lang", "of"), "merkle-trees")
     leaves = settle(rows.join(sizes, F.col("lang").eqNullSafe(F.col("of"))).drop("of"), "merkle-leaves")
-    log = append_log(leaves.select("tree", "n", "idx", F.col("leaf").alias("digest")))
+    log = append_log(leaves.select("tree", "n", "idx", F.col("leaf").alias("digest")), levels)
     trees = sizes.count()
     top = append_log(roots(log).select(F.lit(0).cast("long").alias("tree"), F.lit(trees).cast("long").alias("n"),
-                                       F.col("tree").alias("idx"), F.col("root").alias("digest")))
+                                       F.col("tree").alias("idx"), F.col("root").alias("digest")), levels)
     last = roots(top).first()
     return leaves, log, top, trees, last["root"] if last else None
 
 
-def prove(documents: DataFrame) -> DataFrame:
+def prove(documents: DataFrame, levels: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every document."""
-    leaves, log, top, trees, root = manifest(documents)
+    leaves, log, top, trees, root = manifest(documents, levels)
     if root is None:
         return documents.sparkSession.createDataFrame([], PROVED)
-    return proofs(leaves, log, top, trees, root)
+    return proofs(leaves, log, top, trees, root, levels)
 
 
 def _field_sql(column: str, value: str | None = None) -> str:
