@@ -43,7 +43,9 @@ EDITED = 31
 #: Words of so many letters and more share a length shard.
 LONG = 64
 #: About so many words per filter, 16 bits each, and bytes of filters per round.
-SHARD_WORDS, BITS, ROUND_BYTES = 1 << 20, 16, 32 << 20
+SHARD_WORDS, BITS, ROUND_BYTES = 1 << 14, 16, 32 << 20
+#: About so many words are probed by a task.
+TASK_WORDS = 1 << 15
 PROBES = 6
 #: Edits whose hashes are held at a time.
 EDITS = 1 << 19
@@ -272,7 +274,8 @@ def candidates(words: DataFrame, limit: int = ROUND_BYTES, shard_words: int = SH
 
         sizes = sorted({s for s, _ in shards})
         near = words.filter(size.isin(sizes) | F.least(F.length("word") - 1, F.lit(LONG)).isin(sizes))
-        out.append(settle(near.select("word", "n").mapInArrow(run, shape), "spelling-edits"))
+        tasks = -(-sum(n for s, n in counts.items() if s in sizes or min(s - 1, LONG) in sizes) // TASK_WORDS)
+        out.append(settle(near.select("word", "n").repartition(tasks, "word").mapInArrow(run, shape), "spelling-edits"))
         here.unpersist()
     found = out[0]
     for more in out[1:]:
