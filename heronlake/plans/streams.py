@@ -16,7 +16,8 @@ from heronlake.sources.tables import (access_log, blacklist, lexicon, messages,
 from heronlake.streaming.replay import replay, write_slices
 from heronlake.streaming.runner import (batch_writer, open_stream, read_batches, read_last, read_latest,
                                         run_available, to_table)
-from heronlake.streaming.state import collect_until, count_per_record, fold_by_key, keep_recent
+from heronlake.streaming.state import (COUNT, Fold, collect_until, count_per_record, fold_by_key, keep_recent,
+                                       sliding_counts, top_finished)
 from heronlake.streaming.windows import (as_ntz, count_windows, every_window, keep_zero, panes, seconds, slide_panes)
 
 IP_THRESHOLD = 20
@@ -70,8 +71,9 @@ def windowed(source: str, length: str, slide: str | None = None) -> str:
 
 @job("stream_word_count", f"WITH {o.WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
 def stream_word_count(spark, sf_dir):
+    """The whole vocabulary with its counts, read from the versions of changed words that the batches have left."""
     counts = textops.word_count(doc_words(spark, sf_dir))
-    return read_last(spark, to_table(counts, "complete", "word-count"))
+    return read_latest(spark, to_table(counts, "update", "word-count", keys=["word"]), ["word"])
 
 
 @job("stream_running_counts", f"WITH {o.WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
@@ -128,10 +130,10 @@ BATCH_WORDS = f"WITH {o.MESSAGE_WORDS}, counts AS (SELECT {BATCH} AS batch_id, w
 def stream_batch_top_words(spark, sf_dir):
     """The five most frequent words of each batch and message partition, with the batch's (event) time."""
     def top(batch, _):
-        counts = batch.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"))
+        counts = batch.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"))
         place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "word"))
-        time = F.max("last").over(Window.partitionBy())  # over one row per word and partition of the batch
-        return counts.select("part", "word", "n", time.alias("batch_time"), place.alias("place")).filter("place <= 5").drop("place")
+        time = batch.agg(F.max("ts")).scalar()  # one row, read after the cut
+        return counts.withColumn("place", place).filter("place <= 5").select("part", "word", "n", time.alias("batch_time"))
 
     return as_ntz(read_batches(spark, to_table(message_words(spark, sf_dir), "append", "batch-top", change=top)))
 
@@ -205,12 +207,38 @@ def stream_dropped_words(spark, sf_dir):
 
 # --- event-time windows -------------------------------------------------------------------
 
-@job("stream_windowed_words", f"""WITH {o.MESSAGE_WORDS} SELECT start, "end", word, count(*) AS n
-    FROM {windowed("words", "2 days", "1 day")} GROUP BY ALL""")
+def ended(spark, sf_dir, name, rows, order, length, beat=None):
+    """rows (with ts) as a stream whose last batch brings a row without content that moves the watermark past the end of all
+    windows of the length; carries the watermark. beat: how far past the last row the watermark goes, if not by the length."""
+    last = rows.agg((F.max(order) + 1).alias(order), F.max("ts").alias("ts"))
+    beyond = F.expr(f"INTERVAL {beat or length}") + F.expr(f"INTERVAL {LATE}")
+    mark = last.select(order, (F.col("ts") + beyond).alias("ts"),
+                       *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in (order, "ts")])
+    return replay(spark, sf_dir, f"{name}-ended", rows.unionByName(mark.filter("ts is not null")), order).withWatermark("ts", LATE)
+
+
+WINDOWED_WORDS = f"""WITH {o.MESSAGE_WORDS}, counts AS (SELECT start, "end", word, count(*) AS n
+    FROM {windowed("words", "2 days", "1 day")} GROUP BY ALL)"""
+
+
+def finished_words(spark, sf_dir):
+    """Counts per window and word in append mode: a window is written once, when it is over, and leaves the state."""
+    rows = ended(spark, sf_dir, "messages", messages(spark, sf_dir), "event_id", "3 days")
+    return count_windows(textops.tokenize(rows), ["word"], "2 days", "1 day")
+
+
+@job("stream_windowed_words", f'{WINDOWED_WORDS} SELECT start, "end", word, n FROM counts')
 def stream_windowed_words(spark, sf_dir):
-    counts = count_windows(message_words(spark, sf_dir), ["word"], "2 days", "1 day")
-    path = to_table(counts.sort(F.desc("start"), "word"), "complete", "windowed")
-    return as_ntz(read_last(spark, path).orderBy(F.desc("start"), "word"))
+    path = to_table(finished_words(spark, sf_dir), "append", "windowed")
+    return as_ntz(read_batches(spark, path).drop("batch_id").orderBy(F.desc("start"), "word"))
+
+
+@job("stream_windowed_top", f"""{WINDOWED_WORDS} SELECT start, "end", word, n,
+    CAST(row_number() OVER (PARTITION BY start ORDER BY n DESC, word) AS INTEGER) AS place FROM counts QUALIFY place <= 5""")
+def stream_windowed_top(spark, sf_dir):
+    """The five most frequent words of every finished window, by a second stateful step in the same query."""
+    path = to_table(top_finished(finished_words(spark, sf_dir), "word", 5), "append", "windowed-top")
+    return as_ntz(read_batches(spark, path).drop("batch_id"))
 
 
 LENGTH, SLIDE = "2 days", "12 hours"
@@ -302,14 +330,17 @@ def stream_sliding_counts_panes(spark, sf_dir):
     return as_ntz(slide_panes(parts, ["tag"], PANE_LENGTH, PANE_SLIDE))
 
 
-@job("sliding_counts_keep_zero", f"""WITH {o.LOGS.removeprefix('WITH ')}, counts AS (
+KEEP_ZERO = f"""WITH {o.LOGS.removeprefix('WITH ')}, counts AS (
       SELECT start, ip_address, count(*) AS n FROM {windowed("logs", "12 hours", "6 hours")} GROUP BY ALL),
     grid AS (SELECT s.start, k.ip_address FROM (SELECT DISTINCT start FROM
         (SELECT unnest(generate_series((SELECT min(start) FROM counts), (SELECT max(start) FROM counts),
            INTERVAL 6 HOUR)) AS start)) s
       JOIN (SELECT ip_address, min(start) AS since FROM counts GROUP BY ip_address) k ON s.start >= k.since)
     SELECT g.start, g.start + INTERVAL 12 HOUR AS "end", g.ip_address, coalesce(c.n, 0) AS n
-    FROM grid g LEFT JOIN counts c USING (start, ip_address)""")
+    FROM grid g LEFT JOIN counts c USING (start, ip_address)"""
+
+
+@job("sliding_counts_keep_zero", KEEP_ZERO)
 def sliding_counts_keep_zero(spark, sf_dir):
     """A key stays in the report with a zero after its rows have left the window."""
     rows = logops.parse_access_log(access_log(spark, sf_dir))
@@ -317,6 +348,17 @@ def sliding_counts_keep_zero(spark, sf_dir):
     return as_ntz(keep_zero(counts, ["ip_address"], "12 hours", "6 hours"))
 
 
+@job("stream_sliding_counts_inverse", KEEP_ZERO)
+def stream_sliding_counts_inverse(spark, sf_dir):
+    """The same report from a stream: each pane is added once and taken off once, zeros come from timers."""
+    lines = access_log(spark, sf_dir)
+    # the watermark ends between the end of the last pane's last window and that of the next window
+    stream = ended(spark, sf_dir, "log", lines, "event_id", "12 hours")
+    counts = sliding_counts(logops.parse_access_log(stream), "ip_address", "12 hours", "6 hours")
+    path = to_table(counts, "append", "sliding-inverse")
+    return as_ntz(read_batches(spark, path).drop("batch_id"))
+
+
 def popular_sql(length: str) -> str:
     return f"""WITH {o.TAGS}, counts AS (SELECT start, tag AS hashtag, count(*) AS n
           FROM {windowed("tags", length, SLIDE)} GROUP BY start, tag)
@@ -395,24 +437,58 @@ def stream_map_with_state(spark, sf_dir):
     path = fresh_dir(spark, "per-record")
     count_per_record(rows, "event_type", ["ts", "event_id"], F.date_trunc("second", "ts"), path,
                      fresh_dir(spark, "per-record-checkpoint"), initial=start)
-    return read_batches(spark, f"{path}/rows").select("event_id", "event_type", "n")
-
-
-def add_all(values, old):
-    """The user's state function: the new values added to the old total."""
-    return (old or 0) + int(values.sum())
+    return read_batches(spark, path).select("event_id", "event_type", "n")
 
 
 @job("stream_update_state", f"""WITH {o.MESSAGE_WORDS} SELECT word, count(*) +
       CASE WHEN word IN ('click', 'view') THEN 1 ELSE 0 END AS n FROM words GROUP BY word""")
 def stream_update_state(spark, sf_dir):
-    """A user's fold as keyed state with an initial value; a key is spread over all state partitions."""
-    salts = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ones = message_words(spark, sf_dir).withColumn("one", F.lit(1).cast("long"))
-    start = spark.createDataFrame([("click", 1), ("view", 1)], "word string, one long")
-    totals = fold_by_key(ones, "word", "one", add_all, F.pmod("event_id", salts), start)
-    parts = read_latest(spark, to_table(totals, "update", "fold", keys=["key", "salt"]), ["key", "salt"])
-    return parts.groupBy(F.col("key").alias("word")).agg(F.sum("total").alias("n"))
+    """A user's fold as keyed state with an initial value."""
+    start = spark.createDataFrame([("click", 1), ("view", 1)], "word string, n long")
+    totals = fold_by_key(message_words(spark, sf_dir), "word", COUNT, initial=start)
+    return read_latest(spark, to_table(totals, "update", "fold", keys=["word"]), ["word"])
+
+
+#: Least and greatest event of a word so far: a fold that is no sum but can be merged.
+EXTREMES = Fold("least long, greatest long", lambda: (None, None),
+                lambda state, rows: least_greatest(state, (int(rows["event_id"].min()), int(rows["event_id"].max()))),
+                lambda a, b: least_greatest(a, b))
+
+
+def least_greatest(a, b):
+    if a[0] is None or b[0] is None:
+        return b if a[0] is None else a
+    return min(a[0], b[0]), max(a[1], b[1])
+
+
+@job("stream_state_extremes", f"WITH {o.MESSAGE_WORDS} SELECT word, min(event_id) AS least, max(event_id) AS greatest FROM words GROUP BY word")
+def stream_state_extremes(spark, sf_dir):
+    totals = fold_by_key(message_words(spark, sf_dir), "word", EXTREMES, columns=["event_id"])
+    return read_latest(spark, to_table(totals, "update", "extremes", keys=["word"]), ["word"])
+
+
+def last_two(state, rows):
+    """The last two values and how often the value changed: depends on the order of the rows and cannot be merged."""
+    before, last, changes = state
+    for value in rows["event_type"]:
+        changes += int(last is not None and value != last)
+        before, last = last, value
+    return before, last, changes
+
+
+LAST_TWO = Fold("before string, last string, changes long", lambda: (None, None, 0), last_two)
+
+
+@job("stream_state_last", """WITH steps AS (SELECT user_id, event_type, ts, event_id,
+      lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
+    SELECT user_id, arg_max(prev, (ts, event_id)) AS before, arg_max(event_type, (ts, event_id)) AS last,
+      count(*) FILTER (WHERE prev <> event_type) AS changes FROM steps GROUP BY user_id""")
+def stream_state_last(spark, sf_dir):
+    """An ordered fold per user: rows of a batch reach it in order of time."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    stream = replay(spark, sf_dir, "events", rows, "event_id")
+    totals = fold_by_key(stream, "user_id", LAST_TWO, columns=["event_type", "ts", "event_id"], order=["ts", "event_id"])
+    return read_latest(spark, to_table(totals, "update", "last-two", keys=["user_id"]), ["user_id"])
 
 
 @job("stream_recovered_counts", f"WITH {o.MESSAGE_WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")

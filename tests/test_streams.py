@@ -15,7 +15,8 @@ from heronlake.sources.jdbc import Slices, read_options
 from heronlake.sources.tables import access_log, messages, status
 from heronlake.streaming.replay import write_slices
 from heronlake.streaming.runner import open_stream, read_batches, read_last, read_latest, run_available, to_table
-from heronlake.streaming.state import collect_until
+from heronlake.streaming.state import (COUNT, Fold, collect_until, count_per_record, fold_by_key, sliding_counts,
+                                       top_finished)
 from heronlake.streaming.windows import count_windows, panes, seconds, slide_panes
 
 
@@ -138,16 +139,157 @@ def test_many_small_batches_are_merged(spark):
     assert len(folders) <= 1 + 20
 
 
-def test_hot_key_numbering_in_a_stream(spark, sf_dir):
-    from heronlake.streaming.state import count_per_record
+def slices_of(spark, df, order, slices, schema):
+    """df as a stream of so many batches."""
+    source = fresh_dir(spark, "in")
+    write_slices(df, order, source, slices=slices, files=1)
+    return open_stream(spark, "files", schema, path=source, maxFilesPerTrigger="1")
+
 
+def test_hot_key_numbering_in_a_stream(spark, sf_dir):
     rows = streams.message_stream(spark, sf_dir).select("event_id", "ts", F.lit("one").alias("key"))
     path = fresh_dir(spark, "hot")
     count_per_record(rows, "key", ["ts", "event_id"], F.date_trunc("hour", "ts"), path, fresh_dir(spark, "cp"))
-    got = read_batches(spark, f"{path}/rows").orderBy("event_id").collect()
+    got = read_batches(spark, path).orderBy("event_id").collect()
     assert [r["n"] for r in got] == list(range(1, len(got) + 1))
 
 
+def test_running_counts_go_on_after_a_stop(spark):
+    """Null keys count too, a start value is added once, and the state is Spark's: there is no folder of ours but the rows."""
+    rows = spark.range(90).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 3)).alias("key"))
+    source, path, checkpoint = (fresh_dir(spark, n) for n in ("in", "rows", "cp"))
+    start = spark.createDataFrame([("k1", 100), ("never", 5)], "key string, n long")
+    for part in (range(0, 2), range(2, 6)):
+        write_slices(rows, "id", source, slices=6, files=1, only=part)
+        stream = open_stream(spark, "files", "id bigint, key string", path=source, maxFilesPerTrigger="1")
+        count_per_record(stream, "key", ["id"], F.expr("id div 4"), path, checkpoint, initial=start)
+    got = {r["id"]: r["n"] for r in read_batches(spark, path).collect()}
+    assert got == {i: i // 3 + 1 + (100 if i % 3 == 1 else 0) for i in range(90)}
+    from heronlake.streaming.runner import batch_ids
+    assert batch_ids(spark, path) == list(range(6))
+
+
+def test_fold_with_merge_and_without(spark):
+    """A sum of squares can be merged; the last value cannot, and follows the order asked for, not that of arrival."""
+    rows = spark.range(200).select("id", (F.col("id") % 7 == 0).cast("string").alias("key"), (F.col("id") * 37 % 200).alias("at"),
+                                   (F.col("id") * 1.5).alias("v"))
+    shape = "id bigint, key string, at bigint, v double"
+    squares = Fold("total double, n long", lambda: (0.0, 0), lambda s, f: (s[0] + float((f["v"] ** 2).sum()), s[1] + len(f)),
+                   lambda a, b: (a[0] + b[0], a[1] + b[1]))
+    last = Fold("v double, steps long", lambda: (None, 0), lambda s, f: (float(f["v"].iloc[-1]), s[1] + len(f)))
+    plain = [(r["id"], r["key"], r["at"], r["v"]) for r in rows.collect()]
+
+    def run(fold, **how):
+        stream = slices_of(spark, rows.repartition(4), "id", 4, shape)
+        return rows_of(read_latest(spark, to_table(fold_by_key(stream, "key", fold, **how), "update", "f", keys=["key"]), ["key"]))
+
+    want = []
+    for key in ("false", "true"):
+        mine = [r for r in plain if r[1] == key]
+        want.append((key, sum(r[3] ** 2 for r in mine), len(mine)))
+    assert run(squares, columns=["v"]) == want
+    start = spark.createDataFrame([("true", 1.0, 10), ("x", 2.0, 1)], "key string, total double, n long")
+    assert run(squares, columns=["v"], initial=start) == [want[0], ("true", want[1][1] + 1, want[1][2] + 10)]
+    got = run(last, columns=["v", "at"], order=["at"])
+    for key, v, steps in got:
+        newest = [r for r in plain if r[1] == key and r[0] >= 150]  # the last batch, by `at`
+        assert v == max(newest, key=lambda r: r[2])[3] and steps == sum(r[1] == key for r in plain)
+
+
+def test_states_before_a_batch(spark):
+    stream = slices_of(spark, spark.range(40).select("id", F.lit("a").alias("key")), "id", 4, "id bigint, key string")
+    path = to_table(fold_by_key(stream, "key", COUNT, before=True), "update", "b")
+    assert [r["n"] for r in read_batches(spark, path).orderBy("batch_id").collect()] == [0, 10, 20, 30]
+
+
+EVENTS = [("a", 10), ("a", 70), ("a", 71), ("b", 130), (None, 140), ("a", 600), ("c", 610), ("a", 1900), ("b", 1901)]
+
+
+def minutes(spark, rows):
+    return spark.createDataFrame(rows, "id long, key string, m long").select("id", "key", F.timestamp_seconds(F.col("m") * 60).alias("ts"))
+
+
+def plain_windows(rows, size, step, last, keep=None):
+    """(key, end in minutes, n), window by window."""
+    out = []
+    for key in {k for k, _ in rows}:
+        mine = [m for k, m in rows if k == key]
+        idle, begun = 0, False
+        for end in range((min(mine) // step + 1) * step, last + 1, step):
+            n = sum(end - size <= m < end for m in mine)
+            if n:
+                idle, begun = 0, True
+            elif begun:
+                idle += 1
+                if keep is not None and idle > keep:
+                    begun = False
+            if begun:
+                out.append((str(key), end, n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("keep,zeros", [(None, None), ("2 hours", 2)])
+def test_ring_of_panes(spark, keep, zeros):
+    """Every window once, with zeros, whatever the batches; rows that come too late are not counted."""
+    rows = [(i, k, m) for i, (k, m) in enumerate(EVENTS)] + [(len(EVENTS), "end", 2_400), (len(EVENTS) + 1, "a", 12)]
+    for slices in (1, len(rows)):
+        stream = slices_of(spark, minutes(spark, rows), "id", slices, "id bigint, key string, ts timestamp").withWatermark("ts", "10 minutes")
+        checkpoint = fresh_dir(spark, "cp")
+        path = to_table(sliding_counts(stream, "key", "3 hours", "1 hour", keep=keep), "append", "ring", checkpoint=checkpoint)
+        got = sorted((str(r["key"]), int(r["end"].timestamp()) // 60, r["n"]) for r in read_batches(spark, path).collect()
+                     if r["key"] != "end")
+        late = [("a", 12)] if slices == 1 else []  # in one batch nothing is late
+        assert got == plain_windows(EVENTS + late, 180, 60, 2_390, zeros)
+        if keep and slices > 1:
+            held = spark.read.format("statestore").option("stateVarName", "ring").load(checkpoint)
+            keys = {r["key"][0] for r in held.filter("value is not null").select("key").collect()}
+            assert keys == {"end"}  # the others are let go
+
+
+def test_ring_needs_whole_panes(spark):
+    stream = slices_of(spark, minutes(spark, [(0, "a", 1)]), "id", 1, "id bigint, key string, ts timestamp")
+    with pytest.raises(ValueError):
+        sliding_counts(stream, "key", "3 hours", "2 hours")
+
+
+def test_finished_windows_are_written_once(spark):
+    """60 batches in append mode: no window is written twice, and only those not over are missing."""
+    rows = [(i, f"w{i % 3}", i * 7) for i in range(60)]
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = slices_of(spark, minutes(spark, rows), "id", 60, "id bigint, key string, ts timestamp")
+        counts = count_windows(stream, ["key"], "2 hours", "1 hour", watermark="10 minutes")
+        got = read_batches(spark, to_table(counts, "append", "w")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len({r["batch_id"] for r in got}) > 4
+    seen = sorted((int(r["end"].timestamp()) // 60, r["key"], r["n"]) for r in got)
+    want = {}
+    for _, key, m in rows:
+        for end in range((m // 60 + 1) * 60, m + 121, 60):
+            if end <= 59 * 7 - 10:
+                want[end, key] = want.get((end, key), 0) + 1
+    assert seen == sorted((*k, n) for k, n in want.items())
+
+
+def test_best_of_a_finished_window(spark):
+    """Two stateful steps in one query; ties go by name, a null name first."""
+    words = ["b", "a", "a", None, "c", "c", "b", "d"] * 6
+    rows = [(i, w, i) for i, w in enumerate(words)] + [(100, "late", 500)]
+    for slices in (1, 5):
+        stream = slices_of(spark, minutes(spark, rows), "id", slices, "id bigint, key string, ts timestamp")
+        counts = count_windows(stream, ["key"], "12 minutes", watermark="1 minute")
+        got = read_batches(spark, to_table(top_finished(counts, "key", 2), "append", "best")).collect()
+        found = sorted((int(r["start"].timestamp()) // 60, r["place"], r["key"], r["n"]) for r in got)
+        want = []
+        for start in range(0, 48, 12):
+            some = words[start:start + 12]
+            ranked = sorted({w: some.count(w) for w in some}.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))
+            want += [(start, i + 1, w, n) for i, (w, n) in enumerate(ranked[:2])]
+        assert found == want
+
+
 def test_scoring_a_stream_equals_batch_scoring(spark, sf_dir):
     kept = JOBS["stream_cluster_filter"](spark, sf_dir)
     cluster = kept.first()["cluster"]
