@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -39,13 +40,53 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
-def test_toxicity_learns_pairs(spark):
-    """Neither word tells anything alone, both together do: no sum of single weights can say that."""
+def plain_value(model, buckets):
+    """The machine's value by a loop over all pairs."""
+    w = model.weights.astype(float)
+    value = model.bias + sum(w[i, 0] for i in buckets)
+    return value + sum(float(w[i, 1:] @ w[j, 1:]) for k, i in enumerate(buckets) for j in buckets[:k])
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_toxicity_learns_pairs(spark, alike):
+    """Neither word tells anything alone, only both together (or only one of them) do: no sum of single weights can say that."""
     held = [np.array(x) for x in ([0], [1], [0, 1], [2])] * 60
     toxic = np.array([0.0, 0.0, 1.0, 1.0] * 60)  # 2: neither word
-    m = toxicity.fit_machine(np.arange(3), held, toxic, toxicity.Settings(epochs=150, shrink_pairs=0, shrink_linear=0))
-    p = toxicity.sigmoid(toxicity.margins(m, [np.array(x) for x in ([0], [1], [0, 1], [])]))
-    assert p[2] > 0.9 > 0.1 > max(p[0], p[1])
+    m = toxicity.fit_machine(3, held, toxic if alike else 1 - toxic, toxicity.Settings(epochs=60, patience=60))
+    p = [toxicity.sigmoid(plain_value(m, x)) for x in ([0], [1], [0, 1], [2])]
+    assert min(p[2:]) > 0.9 > 0.1 > max(p[:2]) if alike else min(p[:2]) > 0.7 > 0.4 > max(p[2:])
+
+
+def pair_corpus(n, fill):
+    """Texts that are toxic if they have both or neither of two words, among `fill` others."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(n):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        words = [f"filler{rnd.randrange(fill)}" for _ in range(12)] + ["zebra"] * a + ["quartz"] * b
+        words = ["".join(chr(97 + int(c)) if c.isdigit() else c for c in w) for w in words]
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words), int(a == b)))
+    return rows
+
+
+def test_toxicity_finds_a_pair_among_thousands_of_words(spark):
+    rows = pair_corpus(5_000, 6_000)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.classify(docs, labels).collect()}
+    held = [(got[i].predicted, t) for i, _, t in rows if got[i].held_out]
+    assert len(held) > 800 and sum(p == t for p, t in held) >= 0.95 * len(held)
+
+
+def test_toxicity_scores_are_those_of_all_pairs(spark, messy):
+    """Scores against a double loop over the pairs of a text, a long one among them."""
+    model = toxicity.Model(-0.3, np.random.default_rng(4).normal(0, 0.05, (toxicity.BUCKETS, 9)).astype(np.float32))
+    rows = texts(messy_rows())[:40] + [(1_000, "Word " * 300_000 + "other words"), (1_001, None), (1_001, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), round(r.score, 5)) for r in toxicity.score(df, model).collect())
+    want = sorted((str(d), round(float(toxicity.sigmoid(plain_value(model, sorted(toxicity.text_buckets(t or ""))))), 5)) for d, t in rows)
+    assert [g[0] for g in got] == [w[0] for w in want] and all(abs(g[1] - w[1]) < 2e-3 for g, w in zip(got, want))
 
 
 def test_toxicity_difficult(spark, messy, nothing):
@@ -487,7 +528,7 @@ def test_same_as_sql(key, spark):
 
 
 def test_every_operator_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in entry.queries()} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in entry.queries()} and "pipeline" in entry.queries()
 
 
 def test_mixing_stays_native(spark):
