@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from heronlake.operators import metrics
 from heronlake.functions.hashing import mixed, share_of
 from heronlake.operators.ordering import positions
 from heronlake.operators.relational import left_default
+from heronlake.operators.search import inner_top
 from heronlake.operators.vectors import similar_to
 from heronlake.session import settle
 
@@ -96,29 +99,85 @@ def index_items(items: DataFrame) -> DataFrame:
     return positions(rows, ["_all"], ["item"], F.expr("item div 65536"), out="idx").drop("_all")
 
 
-def negatives(positives: DataFrame, items: DataFrame, seed: int = 1) -> DataFrame:
+#: Places of the item list that one bitmap covers.
+PLACES = 1 << 16
+
+
+def next_free(owned: np.ndarray, draws: np.ndarray, size: int) -> np.ndarray:
+    """The first free place from each draw on, among `size` places of which the sorted `owned` ones are taken; -1 if there is
+    none up to the end.
+
+    Rank and select: before place d lie d less the owned places below it free ones, r of them; the free place with r free ones
+    before it lies at r plus the owned places with at most r free ones before them.
+    """
+    rank = draws - np.searchsorted(owned, draws)
+    at = rank + np.searchsorted(owned - np.arange(len(owned)), rank, side="right")
+    return np.where(rank < size - len(owned), at, -1)
+
+
+def negatives(positives: DataFrame, items: DataFrame, seed: int = 1, places: int = PLACES) -> DataFrame:
     """(user, item): for each distinct positive of a user one item the user has not, by a seeded hash.
 
     Each positive draws a place in the item list; if the user has that item the next one the
     user has not is taken (past the end the list starts again). So a user gets as many negatives as
-    positives, none only if the user has all items. Runs of owned items are found as groups of
-    equal (place - rank); two copies of the list one after the other make the wrap-around plain.
+    positives, none only if the user has all items. The list is cut into stretches of `places`; owned and drawn places
+    meet per user and stretch, once, and `next_free` finds the free ones. The few draws with no free place left in their
+    stretch go to the first free place of the stretches after it.
     """
     index = settle(index_items(items), "item-index")
-    size = index.agg(F.count(F.lit(1))).scalar()
-    owned = settle(positives.select("user", "item").distinct().join(index, "item").select("user", "idx"), "owned")
-    twice = owned.select("user", F.explode(F.array(F.col("idx"), F.col("idx") + size)).alias("idx"))
-    ranked = positions(twice, ["user"], ["idx"], F.expr("idx div 65536"), out="rank").select(
-        "user", "idx", (F.col("idx") - F.col("rank")).alias("run"))
-    runs = ranked.groupBy("user", "run").agg(F.min("idx").alias("first"), F.max("idx").alias("last"))
-    draws = owned.select("user", F.pmod(pair_hash(seed, item="idx"), size).alias("draw"))
-    hit = ranked.select(F.col("user").alias("_u"), F.col("idx").alias("_idx"), F.col("run").alias("_run"))
-    held = draws.join(hit, (F.col("user") == F.col("_u")) & (F.col("draw") == F.col("_idx")), "left")
-    free = held.filter(F.col("_run").isNull()).select("user", F.col("draw").alias("idx"))
-    moved = (held.filter(F.col("_run").isNotNull()).select("user", F.col("_run").alias("run"))
-             .join(runs, ["user", "run"]).filter(F.col("last") - F.col("first") + 1 < size)
-             .select("user", F.pmod(F.col("last") + 1, size).alias("idx")))
-    return free.unionByName(moved).join(index, "idx").select("user", "item")
+    size = index.count()
+    owned = positives.select("user", "item").distinct().join(index, "item").select("user", "idx")
+    draw = F.pmod(pair_hash(seed, item="idx"), F.lit(size))
+    both = F.array(F.struct(F.col("idx").alias("place"), F.lit(True).alias("taken")), F.struct(draw.alias("place"), F.lit(False).alias("taken")))
+    rows = owned.select("user", F.inline(both)).withColumn("stretch", F.floor(F.col("place") / places).cast("long"))
+    kind = positives.schema["user"].dataType.simpleString()
+    stretches = -(-size // places)
+    grouped = rows.groupBy("user", "stretch").agg(
+        F.sort_array(F.collect_list(F.when(F.col("taken"), F.col("place")))).alias("owned"),
+        F.collect_list(F.when(~F.col("taken"), F.col("place"))).alias("draws"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, left, first = [], [], []
+            for stretch, taken, draws in zip(*[batch.column(c).to_pylist() for c in (1, 2, 3)]):
+                start = stretch * places
+                width = min(places, size - start)
+                taken = np.array(taken, np.int64) - start
+                got = next_free(taken, np.array([*draws, start], np.int64) - start, width)
+                if stretches == 1 and got[-1] >= 0:
+                    got = np.where(got < 0, got[-1], got)  # the list starts again
+                first.append(int(got[-1]) + start if got[-1] >= 0 else None)
+                found.append((got[:-1][got[:-1] >= 0] + start).tolist())
+                left.append(int((got[:-1] < 0).sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())), pa.array(left, pa.int64()),
+                 pa.array(first, pa.int64())], ["user", "stretch", "found", "left", "first"])
+
+    done = grouped.mapInArrow(run, f"user {kind}, stretch long, found array<long>, left long, first long")
+    if stretches == 1:
+        drawn = done.select("user", F.explode("found").alias("idx"))
+    else:
+        done = settle(done, "negative-draws")
+        # stretches of the user that hold owned places: one number for each, a fraction of the list; the others are free
+        known = done.groupBy("user").agg(F.map_from_entries(F.collect_list(F.struct("stretch", "first"))).alias("firsts"))
+        over = done.filter("left > 0").select("user", "stretch", "left").join(known, "user")
+
+        def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for user, stretch, left, firsts in zip(*[batch.column(c).to_pylist() for c in range(4)]):
+                    firsts = dict(firsts)
+                    for step in range(1, stretches + 1):
+                        at = (stretch + step) % stretches
+                        place = firsts.get(at, at * places)
+                        if place is not None:
+                            out += [(user, place)] * left
+                            break
+                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], batch.column(0).type),
+                                                  pa.array([p for _, p in out], pa.int64())], ["user", "idx"])
+
+        drawn = done.select("user", F.explode("found").alias("idx")).unionByName(over.mapInArrow(wrap, f"user {kind}, idx long"))
+    return drawn.join(index, "idx").select("user", "item")
 
 
 def labelled_pairs(positives: DataFrame, items: DataFrame) -> DataFrame:
@@ -167,16 +226,19 @@ def with_names(rows: DataFrame, names: DataFrame) -> DataFrame:
 
 def recommend(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
     """(user, place, item, score): the k best items for each of the given users."""
-    best = model.recommendForUserSubset(users.select("user"), k)
-    return best.select("user", F.posexplode("recommendations").alias("place", "r")).select(
-        "user", (F.col("place") + 1).alias("place"), "r.item", F.col("r.rating").alias("score"))
+    return _best(model.userFactors, model.itemFactors, users.select("user"), "user", "item", k)
 
 
 def recommend_users(model: ALSModel, items: DataFrame, k: int) -> DataFrame:
     """(item, place, user, score): the k best users for each of the given items."""
-    best = model.recommendForItemSubset(items.select("item"), k)
-    return best.select("item", F.posexplode("recommendations").alias("place", "r")).select(
-        "item", (F.col("place") + 1).alias("place"), "r.user", F.col("r.rating").alias("score"))
+    return _best(model.itemFactors, model.userFactors, items.select("item"), "item", "user", k)
+
+
+def _best(own: DataFrame, others: DataFrame, chosen: DataFrame, name: str, other: str, k: int) -> DataFrame:
+    vectors = lambda df: df.select("id", F.col("features").cast("array<double>").alias("v"))
+    queries = vectors(own).join(chosen.select(F.col(name).alias("id")).distinct(), "id")
+    return inner_top(queries, vectors(others), k).result.select(
+        F.col("query").alias(name), "place", F.col("id").alias(other), "score")
 
 
 def similar_items(model: ALSModel, item: int, k: int) -> DataFrame:

@@ -70,7 +70,11 @@ def ratings(spark, sf_dir):
 
 
 def train_valid(spark, sf_dir):
-    parts = ops.split(ratings(spark, sf_dir), 0.9)
+    """The two parts of the ratings, joined and split once and stored by part."""
+    def write(path):
+        ops.split(ratings(spark, sf_dir), 0.9).write.partitionBy("part").parquet(path)
+
+    parts = spark.read.parquet(written_once(spark, sf_dir, "reco-parts", write))
     return parts.filter("part = 'train'").drop("part"), parts.filter("part = 'valid'").drop("part")
 
 
