@@ -8,17 +8,18 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import HashingTF, PCA, SQLTransformer, Tokenizer, UnivariateFeatureSelector, Word2Vec
+from pyspark.ml.feature import HashingTF, PCA, SQLTransformer, Tokenizer, UnivariateFeatureSelector
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heronlake.functions.hashing import mixed, share_of
 from heronlake.functions.text import BIGRAM_SQL, char_ngrams, java_split
 from heronlake.functions.vectors import dot
+from heronlake.session import settle
 
 
 def hash_split(df: DataFrame, id_col: str, share: float, seed: int = 0) -> DataFrame:
@@ -136,13 +137,6 @@ def line_tokens(lines: DataFrame, col: str = "value", out: str = "words") -> Dat
     return lines.withColumn(out, java_split(F.col(col)))
 
 
-def fit_word2vec(df: DataFrame, size: int = 100, min_count: int = 5, iterations: int = 1, parts: int = 1,
-                 seed: int = 1, words: str = "words"):
-    """The trainer averages `parts` models, so the vectors depend on it: an argument, never the cluster's size."""
-    return Word2Vec(vectorSize=size, minCount=min_count, maxIter=iterations, numPartitions=parts, seed=seed,
-                    inputCol=words, outputCol="vector").fit(df)
-
-
 # --- explicit ratings --------------------------------------------------------------------------
 
 def fit_explicit(df: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.01, seed: int = 1):
@@ -152,16 +146,40 @@ def fit_explicit(df: DataFrame, rank: int = 10, iterations: int = 10, reg: float
 
 # --- model selection ------------------------------------------------------------------------------
 
+def folded(vector: Column, buckets: int, wide: int) -> Column:
+    """Hashed counts in `buckets` from those in `wide`, a multiple of it: bucket i holds what hashes to i modulo buckets."""
+    at = F.sequence(F.lit(0), F.lit(wide // buckets - 1))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.aggregate(
+        at, F.lit(0.0), lambda s, j: s + F.get(vector, (i + j * buckets).cast("int"))))
+    return array_to_vector(counts)
+
+
 def cross_validate(df: DataFrame, fold_col: str, buckets=(10, 100, 1000), regs=(0.1, 0.01), folds: int = 2,
-                   parallelism: int = 2) -> tuple[list[tuple], PipelineModel]:
-    """((buckets, reg, mean area under ROC) for each setting, best model); the folds are a column."""
-    pipeline = text_classifier()
-    _, tf, lr = pipeline.getStages()
-    maps = ParamGridBuilder().addGrid(tf.numFeatures, list(buckets)).addGrid(lr.regParam, list(regs)).build()
-    model = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(),
-                           numFolds=folds, foldCol=fold_col, parallelism=parallelism).fit(df)
-    found = [(m[tf.numFeatures], m[lr.regParam], float(score)) for m, score in zip(maps, model.avgMetrics)]
-    return found, model.bestModel
+                   iterations: int = 10) -> tuple[list[tuple], PipelineModel]:
+    """((buckets, reg, mean area under ROC) for each setting, best model); the folds are a column.
+
+    Texts are split and hashed once, with the largest number of buckets, and the counts of the others, which divide it, are
+    folded from them; the numbers and the areas are those of separate pipelines. The stored rows serve all fits.
+    """
+    wide = max(buckets)
+    if any(wide % b for b in buckets):
+        raise ValueError("the numbers of buckets divide the largest")
+    tokens = Tokenizer(inputCol="text", outputCol="words").transform(df.select("text", "label", fold_col))
+    hashed = HashingTF(numFeatures=wide, inputCol="words", outputCol="wide").transform(tokens)
+    dense = hashed.select("label", fold_col, "wide", vector_to_array("wide").alias("_wide"))
+    columns = [F.col("wide") if b == wide else folded(F.col("_wide"), b, wide) for b in buckets]
+    rows = settle(dense.select("label", fold_col, *[c.alias(f"f{b}") for b, c in zip(buckets, columns)]), "grid-features")
+    found = []
+    for b in buckets:
+        for reg in regs:
+            lr = LogisticRegression(maxIter=iterations, regParam=reg, featuresCol=f"f{b}")
+            areas = []
+            for fold in range(folds):
+                model = lr.fit(rows.filter(F.col(fold_col) != fold))
+                areas.append(BinaryClassificationEvaluator().evaluate(model.transform(rows.filter(F.col(fold_col) == fold))))
+            found.append((b, reg, float(sum(areas) / folds)))
+    best = max(found, key=lambda f: f[2])
+    return found, text_classifier(best[0], iterations, best[1]).fit(df)
 
 
 def train_validate(df: DataFrame, regs=(0.1, 0.01), mixes=(0.0, 0.5, 1.0), ratio: float = 0.8, seed: int = 1,

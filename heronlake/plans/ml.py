@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler, Word2VecModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from heronlake.functions.hashing import mixed
-from heronlake.operators import metrics, ml
+from heronlake.operators import embed, metrics, ml
 from heronlake.operators.vectors import nearest_all
 from heronlake.plans import oracle as o
 from heronlake.plans import reco
@@ -21,7 +21,7 @@ from heronlake.streaming.replay import replay
 from heronlake.streaming.runner import read_batches, to_table
 
 
-#: Models averaged by the word-vector trainer, and partitions of trainers that start from a sample per partition.
+#: Partitions of trainers that start from a sample per partition.
 TRAIN_PARTS = 4
 
 
@@ -226,28 +226,45 @@ def ml_vector_assemble(spark, sf_dir):
 
 # --- text ---------------------------------------------------------------------------------------
 
-def word2vec_path(spark, sf_dir) -> str:
+def vectors_of_words(spark, sf_dir):
+    """Vectors of the words of the lines, trained once."""
     def write(path):
-        docs = ml.in_parts(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", TRAIN_PARTS)
-        rows = ml.line_tokens(docs.select(F.explode(F.split("text", "\n")).alias("value")))
-        ml.fit_word2vec(rows, size=20, min_count=5, parts=TRAIN_PARTS).write().overwrite().save(path)
+        rows = ml.line_tokens(documents(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("value")))
+        embed.word_vectors(rows, size=20, min_count=5, window=3, epochs=2).write.parquet(path)
 
-    return written_once(spark, sf_dir, "word2vec", write)
+    return spark.read.parquet(written_once(spark, sf_dir, "word-vectors", write))
+
+
+@job("ml_word_vectors", f"WITH {o.WORDS} SELECT word, 20 AS size FROM words GROUP BY word HAVING count(*) >= 5")
+def ml_word_vectors(spark, sf_dir):
+    """The words that have vectors, and their length."""
+    return vectors_of_words(spark, sf_dir).select("word", F.size("v").alias("size"))
 
 
 @job("ml_word2vec_synonyms")
 def ml_word2vec_synonyms(spark, sf_dir):
     """Five synonyms for every word of the vocabulary."""
-    words = Word2VecModel.load(word2vec_path(spark, sf_dir)).getVectors()
-    return nearest_all(words.select("word", vector_to_array("vector").alias("v")), 5, dim=20)
+    return nearest_all(vectors_of_words(spark, sf_dir), 5, dim=20)
+
+
+def vectors_of_documents(spark, sf_dir):
+    def write(path):
+        docs = ml.line_tokens(documents(spark, sf_dir).select("doc_id", "text"), "text")
+        vectors = embed.word_vectors(docs, size=3, min_count=0, window=3, epochs=1)
+        embed.mean_vectors(docs, vectors, "doc_id", "words", 3).write.parquet(path)
+
+    return spark.read.parquet(written_once(spark, sf_dir, "document-vectors", write))
 
 
 @job("ml_doc_vectors")
 def ml_doc_vectors(spark, sf_dir):
     """A vector of three numbers for each document, the mean over its words."""
-    docs = ml.line_tokens(ml.in_parts(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", TRAIN_PARTS), "text")
-    model = ml.fit_word2vec(docs, size=3, min_count=0, parts=TRAIN_PARTS)
-    return model.transform(docs).select("doc_id", vector_to_array("vector").alias("vector"))
+    return vectors_of_documents(spark, sf_dir)
+
+
+@job("ml_doc_vector_sizes", "SELECT doc_id, 3 AS size FROM documents")
+def ml_doc_vector_sizes(spark, sf_dir):
+    return vectors_of_documents(spark, sf_dir).select("doc_id", F.size("vector").alias("size"))
 
 
 @job("ml_bigram_tf", "SELECT doc_id, CAST(greatest(length(text) - 1, least(length(text), 1)) AS DOUBLE) AS bigrams FROM documents")
@@ -316,10 +333,14 @@ def ml_model_roundtrip(spark, sf_dir):
 
 # --- selection and explicit ratings -------------------------------------------------------------------
 
+def fold_rows(spark, sf_dir):
+    """Labelled texts with their fold, by a seeded hash of the id."""
+    return labelled_text(spark, sf_dir).withColumn("fold", F.pmod(mixed(F.col("doc_id"), 3), F.lit(2)).cast("int"))
+
+
 @job("ml_cv_grid_metrics")
 def ml_cv_grid_metrics(spark, sf_dir):
-    rows = labelled_text(spark, sf_dir).withColumn("fold", F.pmod(mixed(F.col("doc_id"), 3), F.lit(2)).cast("int"))
-    found, _ = ml.cross_validate(rows, "fold")
+    found, _ = ml.cross_validate(fold_rows(spark, sf_dir), "fold")
     return spark.createDataFrame(found, "buckets int, reg double, auc double")
 
 

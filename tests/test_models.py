@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import functions as F
 
 from heronlake.operators import metrics, ml
@@ -61,20 +60,49 @@ def test_every_text_has_a_cluster(spark, sf_dir):
     assert sizes == JOBS["ml_text_clusters"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
 
 
-def test_synonyms_equal_the_models(spark, sf_dir):
+def test_synonyms_are_the_nearest_vectors(spark, sf_dir):
     found = JOBS["ml_word2vec_synonyms"](spark, sf_dir)
-    model = Word2VecModel.load(ml_jobs.word2vec_path(spark, sf_dir))
-    word = found.orderBy("word").first()["word"]
-    ours = [(r["neighbour"], r["similarity"]) for r in found.filter(F.col("word") == word).orderBy("place").collect()]
-    theirs = model.findSynonymsArray(word, 5)
-    assert [s for _, s in ours] == pytest.approx([s for _, s in theirs], abs=1e-4)
+    vectors = {r["word"]: np.array(r["v"]) for r in ml_jobs.vectors_of_words(spark, sf_dir).collect()}
+    names = sorted(vectors)
+    unit = np.array([vectors[w] / np.linalg.norm(vectors[w]) for w in names])
+    for at in (0, len(names) // 2, len(names) - 1):
+        scores = unit @ unit[at]
+        scores[at] = -2
+        ours = found.filter(F.col("word") == names[at]).orderBy("place").collect()
+        assert [r["similarity"] for r in ours] == pytest.approx(np.sort(scores)[::-1][:5].tolist(), abs=1e-9)
 
 
 def test_grid_results(spark, sf_dir):
-    cv = JOBS["ml_cv_grid_metrics"](spark, sf_dir).collect()
-    assert len(cv) == 6 and all(0 <= r["auc"] <= 1 for r in cv)
-    tvs = JOBS["ml_tvs_grid_metrics"](spark, sf_dir).collect()
-    assert len(tvs) == 12 and all(r["rmse"] > 0 for r in tvs)
+    """One setting of each grid fitted and measured again, apart from the grid."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+
+    cv = {(r["buckets"], r["reg"]): r["auc"] for r in JOBS["ml_cv_grid_metrics"](spark, sf_dir).collect()}
+    assert set(cv) == {(b, r) for b in (10, 100, 1000) for r in (0.1, 0.01)}
+    rows = ml_jobs.fold_rows(spark, sf_dir)
+    areas = []
+    for fold in (0, 1):
+        model = ml.text_classifier(100, reg=0.1).fit(rows.filter(F.col("fold") != fold))
+        areas.append(BinaryClassificationEvaluator().evaluate(model.transform(rows.filter(F.col("fold") == fold))))
+    assert cv[100, 0.1] == pytest.approx(np.mean(areas), abs=1e-6)
+    tvs = {(r["reg"], r["intercept"], r["mix"]): r["rmse"] for r in JOBS["ml_tvs_grid_metrics"](spark, sf_dir).collect()}
+    assert len(tvs) == 12
+    # the split of the grid is Spark's own: seeded numbers below the ratio train
+    drawn = ml_jobs.sales_features(spark, sf_dir).select("features", "label", F.rand(1).alias("r"))
+    model = LinearRegression(maxIter=10, regParam=0.1, elasticNetParam=0.5, fitIntercept=True).fit(drawn.filter("r < 0.8"))
+    scored = model.transform(drawn.filter("r >= 0.8"))
+    assert tvs[0.1, True, 0.5] == pytest.approx(RegressionEvaluator().evaluate(scored), rel=1e-6)
+
+
+def test_explicit_factors_give_the_error(spark, sf_dir):
+    """The job's error from the products of the factors, row by row."""
+    rows = reco_jobs.ratings(spark, sf_dir)
+    model = ml.fit_explicit(rows, iterations=5)
+    users = {r["id"]: np.array(r["features"], np.float32) for r in model.userFactors.collect()}
+    items = {r["id"]: np.array(r["features"], np.float32) for r in model.itemFactors.collect()}
+    errors = [(r["rating"] - float(users[r["user"]] @ items[r["item"]])) ** 2 for r in rows.collect()]
+    row = JOBS["ml_als_explicit_mse"](spark, sf_dir).first()
+    assert row["n"] == len(errors) and row["mse"] == pytest.approx(np.mean(errors), rel=1e-3)
 
 
 def test_recommendations(spark, sf_dir):
