@@ -52,21 +52,6 @@ def apply_svm(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", F.get(vector_to_array("rawPrediction"), F.lit(1)))
 
 
-def fit_svm_l1(df: DataFrame, iterations: int = 200, reg: float = 0.1):
-    """Support vector machine with an L1 penalty: only the older, gradient-based trainer has one."""
-    from pyspark.mllib.classification import SVMWithSGD
-    from pyspark.mllib.regression import LabeledPoint
-    from pyspark.mllib.util import MLUtils
-
-    old = MLUtils.convertVectorColumnsFromML(df.select("label", "features"), "features")
-    points = old.rdd.map(lambda r: LabeledPoint(r["label"], r["features"]))
-    points.cache()
-    try:
-        return SVMWithSGD.train(points, iterations=iterations, regParam=reg, regType="l1")
-    finally:
-        points.unpersist()
-
-
 def linear_score(weights: Sequence[float], intercept: float, v: Column) -> Column:
     """Score of a linear model as a column function."""
     w = F.lit([float(x) for x in weights])

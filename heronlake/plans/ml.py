@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from heronlake.functions.hashing import mixed
 from heronlake.operators import embed, metrics, ml
+from heronlake.operators.l1 import fit_l1
 from heronlake.operators.vectors import nearest_all
 from heronlake.plans import oracle as o
 from heronlake.plans import reco
@@ -72,8 +73,8 @@ def ml_svm_scores(spark, sf_dir):
 def ml_svm_l1(spark, sf_dir):
     """Area under ROC of the hard labels of an L1-penalised machine, threshold 0.5."""
     train, test = split_points(spark, sf_dir, binary=True)
-    model = ml.fit_svm_l1(train, iterations=200, reg=0.1)
-    score = ml.linear_score(model.weights.toArray(), model.intercept, vector_to_array("features"))
+    model = fit_l1(train, iterations=200, reg=0.1)
+    score = ml.linear_score(model.weights, model.intercept, vector_to_array("features"))
     hard = test.select("label", F.when(score > 0.5, 1.0).otherwise(0.0).alias("score"))
     return metrics.auc(hard)
 
