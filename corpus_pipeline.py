@@ -18,12 +18,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go but for their first occurrence, and with them documents of which nothing else is left."""
     cleaned = lines.without_boilerplate(docs)
-    emptied = (F.col("_n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     kept = cleaned.filter(~F.coalesce(emptied, F.lit(False)))
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                               .otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+
+    def column(name: str):
+        before = F.col("doc").getField(name)
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(before).alias(name)
+        return before.alias(name)
+
+    return kept.select(*[column(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

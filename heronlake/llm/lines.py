@@ -9,7 +9,7 @@ line number), so no content is lost.
 Defined cases: null text stays null and has no lines; an empty text has one empty line; blank lines are never removed; a
 null site is a site of its own; a null id comes last in the order of first occurrences; rows that share an id are told
 apart by their texts only, so each loses its own boilerplate lines and all of them keep a first occurrence at the same
-line number; an empty table gives no rows.
+line number; further columns of any name go along; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ def _key(line: Column) -> Column:
 
 def line_rows(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, site, line_no, key) of every line that is not blank."""
-    lines = documents.select("doc_id", _key(F.col("text")).alias("text_key"), F.col("source").alias("site"),
-                             F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    # the key of the text in a step of its own: beside the generator it would be computed for every line
+    keyed = documents.select("doc_id", _key(F.col("text")).alias("text_key"), F.col("source").alias("site"), "text")
+    lines = keyed.select("doc_id", "text_key", "site", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return (lines.withColumn("line", F.when(F.col("line").rlike(r"^[\x20\x09-\x0D]|[\x20\x09-\x0D]$"), line).otherwise(F.col("line")))
             .filter("line <> ''")
@@ -68,28 +69,32 @@ def removed_lines(rows: DataFrame, wide: DataFrame) -> DataFrame:
 
 
 def without_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
-    """The documents with boilerplate lines taken out of text; adds _n_lines and _n_removed."""
+    """doc (the row as it came), text without boilerplate lines, n_lines and n_removed of every document."""
     rows = line_rows(documents)
     wide = settle(wide_lines(rows, min_sites, lg_k), "line-wide")
-    gone = removed_lines(rows, wide).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"),
-                                            F.col("removed").alias("_gone"))
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (_key(F.col("text")) == F.col("_gone_key"))
-    lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    return (
-        documents.join(gone, same, "left")
-        .withColumn("_n_lines", F.coalesce(F.size(F.when(F.col("text").isNotNull(), lines)), F.lit(0)).cast("long"))
-        .withColumn("_n_removed", F.when(F.col("text").isNull() | F.col("_gone").isNull(), 0).otherwise(
-            F.size(F.array_intersect("_gone", F.sequence(F.lit(0), F.col("_n_lines").cast("int"))))).cast("long"))
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-        .select(*documents.columns, "_n_lines", "_n_removed")
-    )
+    gone = removed_lines(rows, wide).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "removed")
+    # the row goes along as one value, so that columns of any name do no harm
+    whole = documents.select(F.struct(*documents.columns).alias("doc"))
+    text = F.col("doc").getField("text")
+    same = F.col("doc").getField("doc_id").eqNullSafe(F.col("gone_id")) & (_key(text) == F.col("gone_key"))
+    # lines and the places that stay are bound once; array_except looks places up by hash
+    parts = F.struct(F.split(text, "\n", -1).alias("lines"), F.col("removed"))
+    stay = F.transform(F.array(parts), lambda p: F.struct(p["lines"].alias("lines"), F.array_except(
+        F.sequence(F.lit(0), F.size(p["lines"]) - 1), p["removed"]).alias("places")))
+    kept = F.transform(stay, lambda p: F.struct(
+        F.array_join(F.transform(p["places"], lambda i: F.get(p["lines"], i)), "\n").alias("text"),
+        F.size(p["lines"]).alias("lines"), F.size("removed").alias("gone")))
+    joined = whole.join(gone, same, "left")
+    cut = joined.withColumn("cut", F.when(F.col("removed").isNotNull(), F.get(kept, F.lit(0))))
+    n_lines = F.coalesce(F.size(F.when(text.isNotNull(), F.split(text, "\n", -1))), F.lit(0)).cast("long")
+    return cut.select("doc", F.coalesce(F.col("cut.text"), text).alias("text"), n_lines.alias("n_lines"),
+                      F.coalesce(F.col("cut.gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def dedup(documents: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """doc_id, n_lines, n_removed and text without boilerplate lines of every document."""
     cleaned = without_boilerplate(documents.select("doc_id", "source", "text"), min_sites, lg_k)
-    return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+    return cleaned.select("doc.doc_id", "n_lines", "n_removed", "text")
 
 
 SQL = """

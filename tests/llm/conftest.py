@@ -10,7 +10,8 @@ settings.register_profile("unhurried", deadline=None, max_examples=60)
 settings.load_profile("unhurried")
 
 #: Further columns whose names the operators use for their own results or helpers.
-CLASHES = ("score", "node", "bucket", "size", "taken", "n_lines", "removed", "piece", "rank", "uid", "root", "lang_pred")
+CLASHES = ("score", "node", "bucket", "size", "taken", "n_lines", "removed", "piece", "rank", "uid", "root", "lang_pred",
+           "_gone", "_lang", "_score", "_letters", "_n_removed", "doc", "_doc", "cut", "gone_id")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", {c} string" for c in CLASHES)
 
 

@@ -282,6 +282,20 @@ def test_lines_near_the_threshold_are_exact(spark, lg_k):
     assert got == {f"line {n}" for n in range(30, 50)}
 
 
+def test_a_text_of_very_many_lines(spark):
+    """200,000 lines, most of them boilerplate: work in proportion to the lines."""
+    import time
+
+    shared = [f"shared {i % 50}" for i in range(190_000)]
+    rows = [(0, "\n".join(shared + [f"own {i}" for i in range(10_000)]), "s0")]
+    rows += [(i, "\n".join(f"shared {k}" for k in range(50)), f"s{i}") for i in range(1, 13)]
+    start = time.time()
+    got = {r.doc_id: r for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert time.time() - start < 60
+    assert got[0].n_removed == 190_000 - 50 and got[0].text.split("\n")[50:] == [f"own {i}" for i in range(10_000)]
+    assert all(got[i].n_removed == 50 and got[i].text == "" for i in range(1, 13))
+
+
 # --- 7 packing
 
 @given(st.lists(st.integers(1, 64), max_size=200))

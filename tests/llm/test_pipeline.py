@@ -19,7 +19,7 @@ def test_stages(spark, messy):
         docs = nxt
 
     before, after = out["language_id"]
-    pred = langid.with_language(before, langid.fit(before)).collect()
+    pred = langid.with_language(before.select("doc_id", "text"), langid.fit(before)).collect()
     gone = [r for r in pred if r._lang == "und" or (r._letters >= 100 and r._score < 0.1)]
     assert Counter(r.doc_id for r in after.collect()) == Counter(r.doc_id for r in before.collect()) - Counter(r.doc_id for r in gone)
 
