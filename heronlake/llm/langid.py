@@ -114,11 +114,19 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 
 def sample_rows(documents: DataFrame, s: Settings) -> DataFrame:
+    """(s_doc_id, s_lang) of the per_language ids with the least hashes of each language. Ids above a hash that leaves about four
+    times as many go first, so that few rows of a language are ranked together, however many it has."""
+    rows = (documents.select("doc_id", "lang").filter("lang IS NOT NULL AND doc_id IS NOT NULL")
+            .filter(crc_fold("doc_id", s.folds) != s.held_fold))
+    ids = rows.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("doc_id").alias("ids"))
+    share = F.least(F.lit(4.0 * s.per_language) / F.col("ids"), F.lit(1.0))
+    bounds = ids.select("of", (F.lit(-2.0 ** 63) + share * F.lit(2.0 ** 64)).alias("bound"))
+    # one row per language, as in the profiles
+    few = (rows.join(F.broadcast(bounds), F.col("lang") == F.col("of"))
+           .filter(F.xxhash64("doc_id").cast("double") <= F.col("bound")).select("doc_id", "lang").distinct())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (documents.select("doc_id", "lang").filter("lang IS NOT NULL AND doc_id IS NOT NULL")
-            .filter(crc_fold("doc_id", s.folds) != s.held_fold)
-            .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= s.per_language)
-            .select(F.col("doc_id").alias("s_doc_id"), F.col("lang").alias("s_lang")).distinct())
+    return (few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= s.per_language)
+            .select(F.col("doc_id").alias("s_doc_id"), F.col("lang").alias("s_lang")))
 
 
 def fit(documents: DataFrame, s: Settings = Settings()) -> Profiles:
@@ -150,13 +158,14 @@ def fit(documents: DataFrame, s: Settings = Settings()) -> Profiles:
     return Profiles(names, mean, unit(raw - mean))
 
 
-def with_language(documents: DataFrame, p: Profiles, s: Settings = Settings()) -> DataFrame:
-    """The documents with _lang, _score and _letters (letters and single blanks between them) added."""
-    names, at = p.names, documents.columns.index("text")
+def with_language(documents: DataFrame, p: Profiles, s: Settings = Settings(), whole: str | None = None) -> DataFrame:
+    """The documents with _lang, _score and _letters (letters and single blanks between them) added; whole: the column that
+    holds the rows as structs, if they are packed."""
+    names, at = p.names, documents.columns.index(whole or "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = strings(batch.column(at))
+            texts = strings(batch.column(at).field("text") if whole else batch.column(at))
             best, cosines, lengths = [], [], []
             for part in groups(texts, 1 << 19):
                 vectors, size = bundle(texts[part], s)
@@ -192,6 +201,8 @@ def identify(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
 def known_language(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The documents without those of no known language: texts without a letter, and texts of at least `enough` letters that
     are like no profile (score below least_score). Short texts are too noisy to be judged by score."""
-    found = with_language(documents, fit(documents, s), s)
+    # the row goes along as one value, so that columns of any name do no harm
+    packed = documents.select(F.struct(*documents.columns).alias("doc"))
+    found = with_language(packed, fit(documents, s), s, "doc")
     unlike = (F.col("_letters") >= s.enough) & (F.col("_score") < s.least_score)
-    return found.filter((F.col("_lang") != "und") & ~unlike).drop("_lang", "_score", "_letters")
+    return found.filter((F.col("_lang") != "und") & ~unlike).select("doc.*")
