@@ -70,12 +70,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def _files_of(spark: SparkSession, folder: str) -> str:
-    """Names, sizes and times of what a folder holds: changes when its tables do."""
+    """Names, sizes and times of what a folder holds, with the number and size of the files below: changes when its tables do."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = system.listStatus(path) if system.exists(path) else []
-    return " ".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in found))
+    def below(f) -> str:
+        if not f.isDirectory():
+            return ""
+        summary = system.getContentSummary(f.getPath())
+        return f":{summary.getFileCount()}:{summary.getLength()}"
+
+    return " ".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}{below(f)}" for f in found))
 
 
 def written_once(spark: SparkSession, source: str, name: str, write) -> str:
