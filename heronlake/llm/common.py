@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Texts are handled in groups of about this many characters, so that numpy temporaries stay small.
@@ -43,8 +42,3 @@ def scramble(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(27))
     h = h * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
-
-
-def keep_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only the named columns, so that further columns of any name do no harm."""
-    return df.select(*columns)
