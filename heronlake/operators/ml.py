@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import HashingTF, PCA, SQLTransformer, Tokenizer, UnivariateFeatureSelector
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from heronlake.functions.hashing import mixed, share_of
 from heronlake.functions.text import BIGRAM_SQL, char_ngrams, java_split
 from heronlake.functions.vectors import dot
+from heronlake.operators.kmeans import SteadyKMeans
 from heronlake.session import settle
 
 
@@ -27,12 +27,6 @@ def hash_split(df: DataFrame, id_col: str, share: float, seed: int = 0) -> DataF
     return df.withColumn("part", F.when(share_of(mixed(F.col(id_col), seed), share), "train").otherwise("test"))
 
 
-def in_parts(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Rows in a fixed number of partitions and a fixed order, so that what a trainer does per partition (starting points,
-    averaged models) is the same on any cluster."""
-    return df.repartition(parts, key).sortWithinPartitions(key)
-
-
 def as_features(df: DataFrame, array_col: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(array_col)))
 
@@ -76,8 +70,9 @@ def fit_elastic_net(df: DataFrame, iterations: int = 10, reg: float = 0.3, mix:
 
 # --- clusters, components, selection ------------------------------------------------------
 
-def fit_kmeans(df: DataFrame, k: int, iterations: int = 20, seed: int = 1, features: str = "features"):
-    return KMeans(k=k, maxIter=iterations, seed=seed, featuresCol=features).fit(df)
+def fit_kmeans(df: DataFrame, k: int, iterations: int = 20, seed: int = 1, features: str = "features", key: str | None = None):
+    """Spark's model on centres that are the same for any partitioning of the rows; `key` tells equal points apart."""
+    return SteadyKMeans(k, iterations, seed, features, key=key).fit(df)
 
 
 def kmeans_cost(model, df: DataFrame, array_col: str) -> DataFrame:
@@ -105,11 +100,11 @@ def bigram_features(df: DataFrame, col: str = "text", buckets: int = 1000) -> Da
     return HashingTF(numFeatures=buckets, inputCol="bigrams", outputCol="features").transform(grams).drop("bigrams")
 
 
-def bigram_cluster_stages(k: int, iterations: int = 10, buckets: int = 1000, seed: int = 1) -> Pipeline:
+def bigram_cluster_stages(k: int, iterations: int = 10, buckets: int = 1000, seed: int = 1, key: str | None = None) -> Pipeline:
     """The text clusters as a pipeline that can be saved and applied to a stream."""
     grams = SQLTransformer(statement=f"SELECT *, {BIGRAM_SQL.format(text='text')} AS bigrams FROM __THIS__")
     tf = HashingTF(numFeatures=buckets, inputCol="bigrams", outputCol="features")
-    return Pipeline(stages=[grams, tf, KMeans(k=k, maxIter=iterations, seed=seed, predictionCol="cluster")])
+    return Pipeline(stages=[grams, tf, SteadyKMeans(k, iterations, seed, prediction="cluster", key=key)])
 
 
 def text_classifier(buckets: int = 1000, iterations: int = 10, reg: float = 0.01) -> Pipeline:

@@ -22,10 +22,6 @@ from heronlake.streaming.replay import replay
 from heronlake.streaming.runner import read_batches, to_table
 
 
-#: Partitions of trainers that start from a sample per partition.
-TRAIN_PARTS = 4
-
-
 def points(spark, sf_dir, binary: bool = False):
     label = (F.col("label") % 2 if binary else F.col("label")).cast("double")
     return ml.as_features(vectors(spark, sf_dir), "v").withColumn("label", label)
@@ -131,7 +127,7 @@ def apart(spark, sf_dir):
 
 
 def apart_model(spark, sf_dir):
-    return ml.fit_kmeans(ml.in_parts(apart(spark, sf_dir), "id", TRAIN_PARTS), 2)
+    return ml.fit_kmeans(apart(spark, sf_dir), 2, key="id")
 
 
 GROUPS = "SELECT vec_id AS id, label % 2 AS grp, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
@@ -157,7 +153,7 @@ def ml_kmeans_wssse(spark, sf_dir):
 @job("ml_kmeans_centers_roundtrip", "SELECT CAST(2 AS BIGINT) AS centers, CAST(0 AS BIGINT) AS different, count(*) AS n FROM embeddings")
 def ml_kmeans_centers_roundtrip(spark, sf_dir):
     rows = points(spark, sf_dir)
-    model, path = ml.fit_kmeans(rows, 2), fresh_dir(spark, "kmeans")
+    model, path = ml.fit_kmeans(rows, 2, key="id"), fresh_dir(spark, "kmeans")
     model.write().overwrite().save(path)
     again = KMeansModel.load(path)
     both = again.setPredictionCol("again").transform(model.transform(rows))
@@ -277,8 +273,8 @@ def ml_bigram_tf(spark, sf_dir):
 
 
 def cluster_path(spark, sf_dir) -> str:
-    return written_once(spark, sf_dir, "text-clusters", lambda path: ml.bigram_cluster_stages(100).fit(
-        ml.in_parts(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", TRAIN_PARTS)).write().overwrite().save(path))
+    return written_once(spark, sf_dir, "text-clusters", lambda path: ml.bigram_cluster_stages(100, key="doc_id").fit(
+        documents(spark, sf_dir).select("doc_id", "text")).write().overwrite().save(path))
 
 
 def clustered(spark, sf_dir):

@@ -162,7 +162,7 @@ def test_models_do_not_depend_on_the_input_s_partitions(spark, sf_dir):
     plays = spark.createDataFrame([(i % 40, i * 7 % 60, float(1 + i % 5)) for i in range(900)], "user int, item int, rating double")
     found = []
     for n in (2, 7):
-        clusters = ml.bigram_cluster_stages(5).fit(ml.in_parts(docs.repartition(n), "doc_id", 4)).transform(docs)
+        clusters = ml.bigram_cluster_stages(5, key="doc_id").fit(docs.repartition(n)).transform(docs)
         factors = reco_ops.train_implicit(plays.repartition(n), 3, 2).itemFactors.orderBy("id").collect()
         found.append(([r["cluster"] for r in clusters.orderBy("doc_id").collect()], [x for f in factors for x in f["features"]]))
     assert found[0][0] == found[1][0]
