@@ -5,7 +5,7 @@ the seed and the round, and cost is its squared distance to the candidates so fa
 times join the candidates (a draw without replacement by cost, as a top-k without a shuffle). Every candidate then weighs
 as many rows as it is nearest to, and k of them are chosen and moved on the driver, which holds 2 * k * rounds + 1 candidates.
 Passes then send, per task and cluster, a count and sums of whole numbers: values are scaled by a power of two that
-keeps the sum of all rows within 63 bits, so no order of adding changes a centre. Sums meet by cluster, batch by batch.
+keeps the sum of all rows within 63 bits, so no order of adding changes a centre. Sums meet by cluster and component.
 
 Rows without features take no part. Fewer distinct points than k give as many centres as there are points. A cluster that loses
 all its rows keeps its centre. Of equal costs the lower number wins. `key` names what tells equal points apart (an id);
@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.ml import Estimator
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.mllib.common import _py2java
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,23 +67,22 @@ def scale_bits(largest: float, rows: int) -> int:
 
 
 class _Rows:
-    """The stored rows (draw, v) and the passes over them."""
+    """The rows (draw, v) and the passes over them. Vectors are stored as they come, so sparse ones stay small on disk."""
 
     def __init__(self, df: DataFrame, features: str, key: str | None, seed: int) -> None:
-        v = vector_to_array(F.col(features))
-        at = [F.col(key).cast("string")] if key else []
-        self.rows = settle(df.filter(F.col(features).isNotNull())
-                           .select(F.xxhash64(F.lit(seed), *at, v).alias("draw"), v.alias("v")), "points")
-        largest = F.greatest(F.array_max(F.transform("v", F.abs)), F.lit(0.0))
-        self.count, self.largest = self.rows.agg(F.count(F.lit(1)), F.max(largest)).first()
+        stored = settle(df.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"),
+                                  F.col(features).alias("features")), "points")
+        v = vector_to_array("features")
+        draw = F.xxhash64(F.lit(seed), "key" if key else v)
+        self.rows = stored.filter("features IS NOT NULL").select(draw.alias("draw"), v.alias("v"))
+        largest = F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v")), F.lit(0.0))
+        self.count, self.largest, least = self.rows.agg(F.count(F.lit(1)), F.max(largest), F.min(F.struct("draw", "v"))).first()
         if not self.count:
             raise ValueError("no rows to fit on")
         if not np.isfinite(self.largest):
             raise ValueError("features hold values that are not finite")
         self.bits = scale_bits(self.largest, self.count)
-
-    def first(self) -> np.ndarray:
-        return np.array([self.rows.orderBy("draw", "v").first()["v"]])
+        self.first = np.array([least["v"]])
 
     def drawn(self, centers: np.ndarray, number: int, wanted: int) -> np.ndarray:
         """`wanted` rows drawn by their costs; fewer if fewer rows lie away from all centres."""
@@ -102,14 +103,6 @@ class _Rows:
         """Rows per centre and the exact sums of their scaled values."""
         bits, size = self.bits, centers.shape[1] if with_values else 0
 
-        def out(n: dict[int, int], total: dict[int, np.ndarray]) -> pa.RecordBatch:
-            found = sorted(n)
-            flat = np.concatenate([total[c] for c in found]) if found else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int32()), pa.array([n[c] for c in found], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * size, pa.int32()), pa.array(flat, pa.int64()))],
-                ["cluster", "n", "total"])
-
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n: dict[int, int] = {}
             total: dict[int, np.ndarray] = {}
@@ -123,25 +116,19 @@ class _Rows:
                     mine = best == c
                     n[c] = n.get(c, 0) + int(mine.sum())
                     total[c] = total.get(c, 0) + whole[mine].sum(axis=0)
-            yield out(n, total)
-
-        def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n: dict[int, int] = {}
-            total: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for c, count, values in zip(*(batch.column(i) for i in range(3))):
-                    c = c.as_py()
-                    n[c] = n.get(c, 0) + count.as_py()
-                    total[c] = total.get(c, 0) + values.values.to_numpy(zero_copy_only=False)
-            yield out(n, total)
+            found = sorted(n)
+            flat = np.concatenate([np.append(total[c], n[c]) for c in found]) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(found) + 1) * (size + 1), pa.int32()), pa.array(flat, pa.int64()))], ["cluster", "total"])
 
-        schema = "cluster int, n long, total array<long>"
-        tasks = min(len(centers), int(self.rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        merged = self.rows.select("v").mapInArrow(part, schema).repartition(tasks, "cluster").mapInArrow(together, schema)
-        counts, totals = np.zeros(len(centers), np.int64), np.zeros((len(centers), size), np.int64)
-        for row in merged.collect():  # one row per centre
-            counts[row["cluster"]], totals[row["cluster"]] = row["n"], row["total"]
-        return counts, totals
+        parts = self.rows.select("v").mapInArrow(part, "cluster int, total array<long>")
+        sums = (parts.select("cluster", F.posexplode("total").alias("place", "x")).filter("x != 0")
+                .groupBy("cluster", "place").agg(F.sum("x").alias("x")))
+        found = sums.toArrow()  # one number per centre and component
+        totals = np.zeros((len(centers), size + 1), np.int64)
+        totals[found.column(0).to_numpy(), found.column(1).to_numpy()] = found.column(2).to_numpy()
+        return totals[:, -1], totals[:, :-1]
 
 
 def choose(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int, steps: int = 30) -> np.ndarray:
@@ -176,7 +163,7 @@ def fit_centers(df: DataFrame, k: int, iterations: int = 20, seed: int = 1, feat
                 key: str | None = None, rounds: int = ROUNDS, tolerance: float = 1e-4) -> np.ndarray:
     """Centres in rows. Ends when none has moved by more than `tolerance`."""
     rows = _Rows(df, features, key, seed)
-    candidates, number = rows.first(), 0
+    candidates, number = rows.first, 0
     while number < rounds or len(candidates) < k:
         more = rows.drawn(candidates, number, 2 * k)
         if not len(more):
@@ -199,13 +186,8 @@ def fit_centers(df: DataFrame, k: int, iterations: int = 20, seed: int = 1, feat
 
 def as_model(spark: SparkSession, centers: np.ndarray, features: str = "features", prediction: str = "prediction") -> KMeansModel:
     """Spark's own model with these centres: it scores, saves and exports like a fitted one."""
-    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
-    found = jvm.java.util.ArrayList()
-    for c in centers.tolist():
-        values = gateway.new_array(jvm.double, len(c))
-        for i, x in enumerate(c):
-            values[i] = x
-        found.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(values))
+    jvm = spark.sparkContext._jvm
+    found = _py2java(spark.sparkContext, [Vectors.dense(c) for c in centers])
     inner = jvm.org.apache.spark.mllib.clustering.KMeansModel(found)
     uid = jvm.org.apache.spark.ml.util.Identifiable.randomUID("kmeans")
     model = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(uid, inner))
