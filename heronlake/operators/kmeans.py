@@ -9,7 +9,7 @@ keeps the sum of all rows within 63 bits, so no order of adding changes a centre
 
 Rows without features take no part. Fewer distinct points than k give as many centres as there are points. A cluster that loses
 all its rows keeps its centre. Of equal costs the lower number wins. `key` names what tells equal points apart (an id);
-without it equal points draw the same number, and a round may be spent on copies of one point.
+rows without one draw by their values, so equal ones draw the same number, and a round may be spent on copies of one point.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ class _Rows:
         stored = settle(df.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"),
                                   F.col(features).alias("features")), "points")
         v = vector_to_array("features")
-        draw = F.xxhash64(F.lit(seed), "key" if key else v)
+        draw = F.when(F.col("key").isNull(), F.xxhash64(F.lit(seed), v)).otherwise(F.xxhash64(F.lit(seed), "key"))
         self.rows = stored.filter("features IS NOT NULL").select(draw.alias("draw"), v.alias("v"))
         largest = F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v")), F.lit(0.0))
         self.count, self.largest, least = self.rows.agg(F.count(F.lit(1)), F.max(largest), F.min(F.struct("draw", "v"))).first()

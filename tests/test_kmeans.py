@@ -100,6 +100,8 @@ def test_rows_that_cannot_be_placed(spark):
     df = frame(spark, x).select("id", "features")
     without = df.union(spark.createDataFrame([(999, None), (None, None)], df.schema))
     assert np.array_equal(kmeans.fit_centers(without, 2, key="id"), kmeans.fit_centers(df, 2, key="id"))
+    nameless = df.withColumn("id", F.lit(None).cast("long"))
+    assert np.array_equal(kmeans.fit_centers(nameless, 2, key="id"), kmeans.fit_centers(df, 2))
     with pytest.raises(ValueError, match="no rows"):
         kmeans.fit_centers(df.limit(0), 2)
     with pytest.raises(ValueError, match="not finite"):
