@@ -118,6 +118,17 @@ def test_nearest_all(spark, block_rows):
     assert {(r["word"], r["neighbour"]) for r in got} == want
 
 
+def test_nearest_all_by_stretches_keeps_ties(spark, monkeypatch):
+    """Scores are cut at a row's k-th so far; of equal ones the smaller id stays, wherever its stretch lies."""
+    from heronlake.operators import vectors
+
+    axes = [[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]]
+    df = spark.createDataFrame([(i, axes[i % 3]) for i in range(40)], "word long, v array<double>")
+    monkeypatch.setattr(vectors, "STRETCH", 7)
+    got = {(r["word"], r["place"]): r["neighbour"] for r in nearest_all(df, 4, dim=2, block_rows=16).collect()}
+    assert got == {(i, p + 1): j for i in range(40) for p, j in enumerate([j for j in range(i % 3, 40, 3) if j != i][:4])}
+
+
 def test_ordered_operators_read_their_input_once(spark, sf_dir):
     """With a key that holds a third of the rows: the input is stored, and what comes after reads only that."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
