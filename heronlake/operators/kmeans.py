@@ -33,6 +33,16 @@ ROUNDS = 2
 SUM_BITS = 62
 
 
+#: Rows of an Arrow batch that are worked on at a time: a batch of long vectors is large, and each step makes copies of it.
+PIECE = 1_024
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE):
+            yield batch.slice(at, PIECE)
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
@@ -87,12 +97,11 @@ class _Rows:
     def drawn(self, centers: np.ndarray, number: int, wanted: int) -> np.ndarray:
         """`wanted` rows drawn by their costs; fewer if fewer rows lie away from all centres."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    _, cost = nearest(matrix(batch.column(1)), centers)
-                    keep = pa.array(cost > 0)
-                    cut = batch.filter(keep)
-                    yield pa.RecordBatch.from_arrays([cut.column(0), cut.column(1), pa.array(cost[cost > 0])], ["draw", "v", "cost"])
+            for batch in pieces(batches):
+                _, cost = nearest(matrix(batch.column(1)), centers)
+                keep = pa.array(cost > 0)
+                cut = batch.filter(keep)
+                yield pa.RecordBatch.from_arrays([cut.column(0), cut.column(1), pa.array(cost[cost > 0])], ["draw", "v", "cost"])
 
         u = (F.pmod(F.xxhash64("draw", F.lit(number)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
         costs = self.rows.mapInArrow(run, "draw long, v array<double>, cost double")
@@ -106,9 +115,7 @@ class _Rows:
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n: dict[int, int] = {}
             total: dict[int, np.ndarray] = {}
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in pieces(batches):
                 x = matrix(batch.column(0))
                 best, _ = nearest(x, centers)
                 whole = np.rint(np.ldexp(x[:, :size], bits)).astype(np.int64)

@@ -118,3 +118,12 @@ def test_the_model_is_saved_and_scores(spark):
     assert np.array_equal(np.array(again.clusterCenters()), np.array(model.clusterCenters()))
     scored = again.transform(df).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).collect()
     assert sorted(r["n"] for r in scored) == [20, 20, 20]
+
+
+def test_batches_are_worked_on_in_pieces(monkeypatch):
+    """No step sees more rows than a piece holds; all rows come, once and in order."""
+    x, _ = groups()
+    monkeypatch.setattr(kmeans, "PIECE", 100)
+    batches = [kmeans.pa.RecordBatch.from_pydict({"v": x.tolist()})] * 2 + [kmeans.pa.RecordBatch.from_pydict({"v": [[0.0]]}).slice(0, 0)]
+    cut = [kmeans.matrix(b.column(0)) for b in kmeans.pieces(iter(batches))]
+    assert [len(c) for c in cut] == [100, 100, 100, 100, 80] * 2 and np.array_equal(np.concatenate(cut), np.concatenate([x, x]))
