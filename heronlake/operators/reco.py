@@ -105,14 +105,28 @@ PLACES = 1 << 16
 
 def next_free(owned: np.ndarray, draws: np.ndarray, size: int) -> np.ndarray:
     """The first free place from each draw on, among `size` places of which the sorted `owned` ones are taken; -1 if there is
-    none up to the end.
+    none up to the end."""
+    return next_free_of(owned, np.array([0, len(owned)]), draws, np.zeros(len(draws), np.int64), np.array([size]))
+
+
+def next_free_of(owned: np.ndarray, at: np.ndarray, draws: np.ndarray, group: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """`next_free` for many lists at once: list g has sizes[g] places and owns owned[at[g]:at[g + 1]]; group says whose a draw is.
 
     Rank and select: before place d lie d less the owned places below it free ones, r of them; the free place with r free ones
-    before it lies at r plus the owned places with at most r free ones before them.
+    before it lies at r plus the owned places with at most r free ones before them. Each list has its own range of numbers in
+    the two sorted arrays, so one search serves all lists.
     """
-    rank = draws - np.searchsorted(owned, draws)
-    at = rank + np.searchsorted(owned - np.arange(len(owned)), rank, side="right")
-    return np.where(rank < size - len(owned), at, -1)
+    counts, wide = np.diff(at), int(sizes.max(initial=0)) + 1
+    of = np.repeat(np.arange(len(counts)), counts)
+    rank = draws - (np.searchsorted(of * wide + owned, group * wide + draws) - at[group])
+    free_before = of * wide + owned - (np.arange(len(owned)) - at[of])
+    place = rank + np.searchsorted(free_before, group * wide + rank, side="right") - at[group]
+    return np.where(rank < (sizes - counts)[group], place, -1)
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists and where each list begins and the last one ends."""
+    return column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
 
 
 def negatives(positives: DataFrame, items: DataFrame, seed: int = 1, places: int = PLACES) -> DataFrame:
@@ -121,7 +135,7 @@ def negatives(positives: DataFrame, items: DataFrame, seed: int = 1, places: int
     Each positive draws a place in the item list; if the user has that item the next one the
     user has not is taken (past the end the list starts again). So a user gets as many negatives as
     positives, none only if the user has all items. The list is cut into stretches of `places`; owned and drawn places
-    meet per user and stretch, once, and `next_free` finds the free ones. The few draws with no free place left in their
+    meet per user and stretch, once, and `next_free_of` finds the free ones of a batch of them. The few draws with no free place left in their
     stretch go to the first free place of the stretches after it.
     """
     index = settle(index_items(items), "item-index")
@@ -138,20 +152,23 @@ def negatives(positives: DataFrame, items: DataFrame, seed: int = 1, places: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, left, first = [], [], []
-            for stretch, taken, draws in zip(*[batch.column(c).to_pylist() for c in (1, 2, 3)]):
-                start = stretch * places
-                width = min(places, size - start)
-                taken = np.array(taken, np.int64) - start
-                got = next_free(taken, np.array([*draws, start], np.int64) - start, width)
-                if stretches == 1 and got[-1] >= 0:
-                    got = np.where(got < 0, got[-1], got)  # the list starts again
-                first.append(int(got[-1]) + start if got[-1] >= 0 else None)
-                found.append((got[:-1][got[:-1] >= 0] + start).tolist())
-                left.append(int((got[:-1] < 0).sum()))
+            groups = batch.num_rows
+            starts = batch.column(1).to_numpy() * places
+            widths = np.minimum(places, size - starts)
+            (taken, at), (draws, ends) = [_lists(batch.column(c)) for c in (2, 3)]
+            taken = taken - np.repeat(starts, np.diff(at))
+            group = np.repeat(np.arange(groups), np.diff(ends))
+            got = next_free_of(taken, at, draws - starts[group], group, widths)
+            first = next_free_of(taken, at, np.zeros(groups, np.int64), np.arange(groups), widths)
+            if stretches == 1:
+                got = np.where(got < 0, first[group], got)  # the list starts again
+            free = got >= 0
+            found = np.concatenate([[0], np.cumsum(np.bincount(group[free], minlength=groups))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())), pa.array(left, pa.int64()),
-                 pa.array(first, pa.int64())], ["user", "stretch", "found", "left", "first"])
+                [batch.column(0), batch.column(1),
+                 pa.ListArray.from_arrays(pa.array(found, pa.int32()), pa.array((got + starts[group])[free], pa.int64())),
+                 pa.array(np.bincount(group[~free], minlength=groups), pa.int64()),
+                 pa.array(first + starts, pa.int64(), mask=first < 0)], ["user", "stretch", "found", "left", "first"])
 
     done = grouped.mapInArrow(run, f"user {kind}, stretch long, found array<long>, left long, first long")
     if stretches == 1:
@@ -159,8 +176,10 @@ def negatives(positives: DataFrame, items: DataFrame, seed: int = 1, places: int
     else:
         done = settle(done, "negative-draws")
         # stretches of the user that hold owned places: one number for each, a fraction of the list; the others are free
-        known = done.groupBy("user").agg(F.map_from_entries(F.collect_list(F.struct("stretch", "first"))).alias("firsts"))
-        over = done.filter("left > 0").select("user", "stretch", "left").join(known, "user")
+        over = done.filter("left > 0").select("user", "stretch", "left")
+        known = done.join(over.select("user").distinct(), "user", "left_semi").groupBy("user").agg(
+            F.map_from_entries(F.collect_list(F.struct("stretch", "first"))).alias("firsts"))
+        over = over.join(known, "user")
 
         def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

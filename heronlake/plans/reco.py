@@ -173,8 +173,8 @@ def reco_popularity_scores(spark, sf_dir):
 def auc_pairs(spark, sf_dir):
     """The pairs all AUC jobs score, drawn once."""
     def write(path):
-        _, valid = train_valid(spark, sf_dir)
-        ops.labelled_pairs(valid, ratings(spark, sf_dir).select("item")).write.parquet(path)
+        train, valid = train_valid(spark, sf_dir)  # both parts together are all ratings, joined and stored already
+        ops.labelled_pairs(valid, train.select("item").unionByName(valid.select("item"))).write.parquet(path)
 
     return spark.read.parquet(written_once(spark, sf_dir, "auc-pairs", write))
 

@@ -40,6 +40,19 @@ def test_next_free_place(size, data):
     assert got == [next((p for p in range(d, size) if p not in owned), -1) for d in draws]
 
 
+@given(st.lists(st.tuples(st.integers(1, 12), st.data()), max_size=6))
+def test_next_free_places_of_many_lists(lists):
+    """All lists are searched at once, each gets what it gets by itself; some own nothing, some all, some draw nothing."""
+    owned, draws, group, at, want = [], [], [], [0], []
+    for g, (size, data) in enumerate(lists):
+        mine = sorted(data.draw(st.sets(st.integers(0, size - 1))))
+        some = data.draw(st.lists(st.integers(0, size - 1), max_size=5))
+        owned, draws, group, at = owned + mine, draws + some, group + [g] * len(some), [*at, len(owned) + len(mine)]
+        want += [next((p for p in range(d, size) if p not in mine), -1) for d in some]
+    got = reco.next_free_of(*[np.array(x, np.int64) for x in (owned, at, draws, group, [size for size, _ in lists])])
+    assert got.tolist() == want
+
+
 @pytest.mark.parametrize("places", [reco.PLACES, 4, 16])
 def test_negatives_against_a_walk(spark, places):
     """Every draw goes on to the user's next free item, over the end of the list and of stretches; one user owns all, one
