@@ -16,7 +16,7 @@ from heronlake.operators.ordering import positions
 from heronlake.operators.relational import left_default
 from heronlake.operators.search import inner_top
 from heronlake.operators.vectors import similar_to
-from heronlake.session import settle
+from heronlake.session import let_go, settle
 
 
 # --- preparation -----------------------------------------------------------------
@@ -225,7 +225,8 @@ def grid(train: DataFrame, pairs: DataFrame, ranks: Iterable[int], regs: Iterabl
          alphas: Iterable[float], iterations: int = 5) -> list[tuple]:
     """(rank, reg, alpha, auc) for each setting, best first. Only settings loop on the driver.
 
-    `train` and `pairs` are read by every fit: hand in stored tables.
+    `train` and `pairs` are read by every fit: hand in stored tables. What a fit has shuffled and kept is let go after
+    it, so the disk holds about two fits (the last one may still be in Spark's books), whatever the number of settings.
     """
     found = []
     for rank in ranks:
@@ -234,6 +235,8 @@ def grid(train: DataFrame, pairs: DataFrame, ranks: Iterable[int], regs: Iterabl
                 model = train_implicit(train, rank, iterations, reg, alpha)
                 auc = mean_auc(pairs, predict_model(model)).first()["auc"]
                 found.append((rank, reg, alpha, auc))
+                del model
+                let_go(train.sparkSession)
     return sorted(found, key=lambda r: -r[3])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -104,6 +105,13 @@ def clear_scratch(spark: SparkSession) -> None:
         del _written[key]
 
 
+def let_go(spark: SparkSession) -> None:
+    """Makes Spark delete the shuffle files and cached blocks of results that nothing refers to any more. Spark's cleaner does so
+    after a garbage collection on the driver, which a driver with free memory may not see for half an hour."""
+    gc.collect()  # handles of the Python side
+    spark.sparkContext._jvm.System.gc()
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts the plan and the lineage.
 

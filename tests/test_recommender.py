@@ -1,5 +1,7 @@
 """Splits, negatives, exact search and the recommender's grid, each against a plain recomputation."""
 
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given
@@ -147,3 +149,17 @@ def test_grid_areas_recomputed(spark, sf_dir):
         by_user.setdefault(r["user"], ([], []))[r["label"]].append(r["prediction"])
     areas = [np.mean([p > n for p in pos for n in neg]) for neg, pos in by_user.values() if pos and neg]
     assert abs(area - np.mean(areas)) < 1e-9
+
+
+def test_grid_lets_its_fits_go(spark):
+    """After a grid at most its last fit is kept, so the disk does not grow with the number of settings."""
+    def kept() -> int:
+        return sum(r.name() in ("userFactors", "itemFactors") for r in spark.sparkContext._jsc.getPersistentRDDs().values())
+
+    rows = spark.range(400).select((F.col("id") % 20).cast("int").alias("user"), (F.col("id") * 7 % 31).cast("int").alias("item"))
+    train, before = rows.withColumn("rating", F.lit(1.0)), kept()
+    reco.grid(train, rows.withColumn("label", F.col("item") % 2), (2,), (1.0, 0.1, 0.01, 0.001), (1.0,), iterations=1)
+    end = time.time() + 30
+    while kept() > before + 2 and time.time() < end:  # Spark's cleaner runs beside the program
+        time.sleep(0.2)
+    assert kept() <= before + 2
