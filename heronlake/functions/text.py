@@ -22,11 +22,6 @@ def hashtags(text: Column, strip: bool = False) -> Column:
     return F.transform(tags, lambda t: F.substring(t, 2, 2147483647)) if strip else tags
 
 
-#: Sliding character pairs of {text}.
-BIGRAM_SQL = ("CASE WHEN length({text}) = 1 THEN array({text}) "
-              "ELSE regexp_extract_all({text}, '(?s)(?=(..)).', 1) END")
-
-
 def char_ngrams(text: Column) -> Column:
     """Sliding character pairs; one character gives itself, the empty string gives nothing.
 

@@ -26,7 +26,7 @@ from pyspark.mllib.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heronlake.session import settle
+from heronlake.session import fresh_dir
 
 ROUNDS = 2
 #: Bits of the sums of a cluster; one of 64 is the sign, one is left over for rounding.
@@ -35,6 +35,8 @@ SUM_BITS = 62
 
 #: Rows of an Arrow batch that are worked on at a time: a batch of long vectors is large, and each step makes copies of it.
 PIECE = 1_024
+#: The fields in which Spark stores a vector.
+STORED = "features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
 
 
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,8 +54,26 @@ def exact_costs(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.stack([((x - c) ** 2).sum(axis=1) for c in centers], axis=1)
 
 
+def dense(column: pa.StructArray, size: int) -> np.ndarray:
+    """Rows of a column of vectors as Spark stores them, sparse ones (type 0) and dense ones."""
+    x = np.zeros((len(column), size))
+    kind, indices, values = (column.field(name) for name in ("type", "indices", "values"))
+    sparse, lengths = kind.to_numpy() == 0, values.value_lengths().to_numpy()
+    begin = np.cumsum(lengths) - lengths
+    place = np.arange(lengths.sum()) - np.repeat(begin, lengths)  # of a dense row's values
+    place[np.repeat(sparse, lengths)] = indices.filter(pa.array(sparse)).flatten().to_numpy()
+    x[np.repeat(np.arange(len(column)), lengths), place] = values.flatten().to_numpy()
+    return x
+
+
 def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the nearest centre and the squared distance to it.
+    """Number of the nearest centre and the squared distance to it."""
+    best = nearest_of(x, centers)
+    return best, ((x - centers[best]) ** 2).sum(axis=1)
+
+
+def nearest_of(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Number of the nearest centre.
 
     A matrix product finds the centre; rows whose best two are within its rounding error are computed again one by one."""
     rows, norms = (x ** 2).sum(axis=1), (centers ** 2).sum(axis=1)
@@ -66,7 +86,7 @@ def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         some = unsure[at:at + 1024]
         costs = np.where(near[some], exact_costs(x[some], centers), np.inf)
         best[some] = costs.argmin(axis=1)
-    return best, ((x - centers[best]) ** 2).sum(axis=1)
+    return best
 
 
 def scale_bits(largest: float, rows: int) -> int:
@@ -80,8 +100,12 @@ class _Rows:
     """The rows (draw, v) and the passes over them. Vectors are stored as they come, so sparse ones stay small on disk."""
 
     def __init__(self, df: DataFrame, features: str, key: str | None, seed: int) -> None:
-        stored = settle(df.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"),
-                                  F.col(features).alias("features")), "points")
+        path = fresh_dir(df.sparkSession, "points")
+        df.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"),
+                  F.col(features).alias("features")).write.parquet(path)
+        stored = df.sparkSession.read.parquet(path)
+        # the same vectors as their stored fields: a pass gets a sparse one as it is
+        self.stored = df.sparkSession.read.schema(STORED).parquet(path).filter("features IS NOT NULL")
         v = vector_to_array("features")
         draw = F.when(F.col("key").isNull(), F.xxhash64(F.lit(seed), v)).otherwise(F.xxhash64(F.lit(seed), "key"))
         self.rows = stored.filter("features IS NOT NULL").select(draw.alias("draw"), v.alias("v"))
@@ -116,20 +140,22 @@ class _Rows:
             n: dict[int, int] = {}
             total: dict[int, np.ndarray] = {}
             for batch in pieces(batches):
-                x = matrix(batch.column(0))
-                best, _ = nearest(x, centers)
-                whole = np.rint(np.ldexp(x[:, :size], bits)).astype(np.int64)
-                for c in np.unique(best).tolist():
-                    mine = best == c
-                    n[c] = n.get(c, 0) + int(mine.sum())
-                    total[c] = total.get(c, 0) + whole[mine].sum(axis=0)
+                x = dense(batch.column(0), centers.shape[1])
+                best = nearest_of(x, centers)
+                order = np.argsort(best, kind="stable")
+                whole = np.rint(np.ldexp(x[order, :size], bits)).astype(np.int64)
+                found, at, counts = np.unique(best[order], return_index=True, return_counts=True)
+                sums = np.add.reduceat(whole, at, axis=0) if len(found) else whole
+                for c, some, each in zip(found.tolist(), sums, counts.tolist()):
+                    n[c] = n.get(c, 0) + each
+                    total[c] = total.get(c, 0) + some
             found = sorted(n)
             flat = np.concatenate([np.append(total[c], n[c]) for c in found]) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.int32()), pa.ListArray.from_arrays(
                     pa.array(np.arange(len(found) + 1) * (size + 1), pa.int32()), pa.array(flat, pa.int64()))], ["cluster", "total"])
 
-        parts = self.rows.select("v").mapInArrow(part, "cluster int, total array<long>")
+        parts = self.stored.mapInArrow(part, "cluster int, total array<long>")
         sums = (parts.select("cluster", F.posexplode("total").alias("place", "x")).filter("x != 0")
                 .groupBy("cluster", "place").agg(F.sum("x").alias("x")))
         found = sums.toArrow()  # one number per centre and component

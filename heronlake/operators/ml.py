@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import HashingTF, PCA, SQLTransformer, Tokenizer, UnivariateFeatureSelector
+from pyspark.ml.feature import HashingTF, PCA, Tokenizer, UnivariateFeatureSelector
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heronlake.functions.hashing import mixed, share_of
-from heronlake.functions.text import BIGRAM_SQL, char_ngrams, java_split
+from heronlake.functions.text import char_ngrams, java_split
 from heronlake.functions.vectors import dot
+from heronlake.operators.bigrams import HashedBigrams
 from heronlake.operators.kmeans import SteadyKMeans
 from heronlake.session import settle
 
@@ -102,9 +103,8 @@ def bigram_features(df: DataFrame, col: str = "text", buckets: int = 1000) -> Da
 
 def bigram_cluster_stages(k: int, iterations: int = 10, buckets: int = 1000, seed: int = 1, key: str | None = None) -> Pipeline:
     """The text clusters as a pipeline that can be saved and applied to a stream."""
-    grams = SQLTransformer(statement=f"SELECT *, {BIGRAM_SQL.format(text='text')} AS bigrams FROM __THIS__")
-    tf = HashingTF(numFeatures=buckets, inputCol="bigrams", outputCol="features")
-    return Pipeline(stages=[grams, tf, SteadyKMeans(k, iterations, seed, prediction="cluster", key=key)])
+    counts = HashedBigrams(inputCol="text", outputCol="features", numFeatures=buckets)
+    return Pipeline(stages=[counts, SteadyKMeans(k, iterations, seed, prediction="cluster", key=key)])
 
 
 def text_classifier(buckets: int = 1000, iterations: int = 10, reg: float = 0.01) -> Pipeline:
