@@ -6,11 +6,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heronlake.operators import metrics
+from heronlake.operators import factors, metrics
 from heronlake.functions.hashing import mixed, share_of
 from heronlake.operators.ordering import positions
 from heronlake.operators.relational import left_default
@@ -84,11 +84,9 @@ def predict_model(model: ALSModel) -> Callable[[DataFrame], DataFrame]:
 
 def train_implicit(rows: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0,
                    blocks: int = 12, seed: int = 11) -> ALSModel:
-    """Implicit alternating least squares; users and items are cut into `blocks`. The starting factors depend on the
-    blocks, so their number is an argument (raise it with the data) and never comes from the cluster."""
-    return ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="user",
-               itemCol="item", ratingCol="rating", numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
-               coldStartStrategy="drop").fit(rows)
+    """Implicit alternating least squares. The starting factors are those of Spark's ALS with users cut into `blocks`, so
+    their number is an argument and never comes from the cluster."""
+    return factors.fit(rows, rank, iterations, reg, alpha, blocks, seed)
 
 
 # --- evaluation --------------------------------------------------------------------
@@ -265,8 +263,8 @@ def _best(own: DataFrame, others: DataFrame, chosen: DataFrame, name: str, other
 
 def similar_items(model: ALSModel, item: int, k: int) -> DataFrame:
     """The k items whose factors point in the direction of the item's factors."""
-    factors = model.itemFactors.select(F.col("id").alias("item"), F.col("features").cast("array<double>").alias("v"))
-    return similar_to(factors, item, k, "item")
+    vectors = model.itemFactors.select(F.col("id").alias("item"), F.col("features").cast("array<double>").alias("v"))
+    return similar_to(vectors, item, k, "item")
 
 
 def most_listened(rows: DataFrame, k: int) -> DataFrame:

@@ -51,7 +51,7 @@ def play_rows(spark, sf_dir):
     """The listening data read back from blank-separated lines."""
     def write(path):
         line = F.concat_ws(" ", *[F.col(c).cast("string") for c in ("user", "item", "cnt")])
-        files.write_lines(plays(spark, sf_dir).select(line.alias("value")), path)
+        files.write_lines(plays(spark, sf_dir).select(line.alias("value")), path, compression="gzip")
 
     path = written_once(spark, sf_dir, "plays", write)
     return files.read_delimited(spark, path, "user int, item int, cnt int", sep=" ")
@@ -228,9 +228,10 @@ def reco_rmse(spark, sf_dir):
 # --- factor model ------------------------------------------------------------------------------
 
 def model_of(spark, sf_dir) -> ALSModel:
-    """Trained on the training part once, saved in the shared folder, loaded by every job."""
+    """Trained on the training part once, saved in the shared folder, loaded by every job. The fit reads its rows once, so the
+    parts are not stored for it."""
     def write(path):
-        train, _ = train_valid(spark, sf_dir)
+        train = ops.split(ratings(spark, sf_dir), 0.9).filter("part = 'train'")
         ops.train_implicit(train).write().overwrite().save(path)
 
     return ALSModel.load(written_once(spark, sf_dir, "als", write))
@@ -281,7 +282,7 @@ def reco_user_topn(spark, sf_dir):
 
 @job("reco_item_users")
 def reco_item_users(spark, sf_dir):
-    top = ops.most_listened(ratings(spark, sf_dir), 10)
+    top = settle(ops.most_listened(ratings(spark, sf_dir), 10), "most-listened")  # read more than once
     return ops.recommend_users(model_of(spark, sf_dir), top, 5)
 
 

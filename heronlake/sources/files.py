@@ -12,9 +12,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
-def write_lines(df: DataFrame, path: str, mode: str = "error") -> None:
-    """One text file per partition from a single string column."""
-    df.write.mode(mode).text(path)
+def write_lines(df: DataFrame, path: str, mode: str = "error", compression: str = "none") -> None:
+    """One text file per partition from a single string column; a gzip file is read by one task."""
+    df.write.mode(mode).text(path, compression=compression)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
