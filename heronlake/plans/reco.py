@@ -298,7 +298,7 @@ def reco_batch_users(spark, sf_dir):
     """Five items in one line for each of the hundred most active users."""
     active = (ratings(spark, sf_dir).groupBy("user").agg(F.sum("rating").alias("n"))
               .orderBy(F.desc("n"), "user").limit(100))
-    best = ops.recommend(model_of(spark, sf_dir), active, 5)
+    best = ops.recommend(model_of(spark, sf_dir), settle(active, "most-active"), 5)  # read more than once
     return best.groupBy("user").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("place", "item"))), lambda s: s["item"].cast("string")), ", ").alias("items"))
 
