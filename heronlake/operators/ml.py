@@ -9,7 +9,6 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import HashingTF, PCA, Tokenizer, UnivariateFeatureSelector
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from heronlake.functions.hashing import mixed, share_of
 from heronlake.functions.text import char_ngrams, java_split
 from heronlake.functions.vectors import dot
+from heronlake.operators import factors
 from heronlake.operators.bigrams import HashedBigrams
 from heronlake.operators.kmeans import SteadyKMeans
 from heronlake.session import settle
@@ -120,8 +120,7 @@ def line_tokens(lines: DataFrame, col: str = "value", out: str = "words") -> Dat
 # --- explicit ratings --------------------------------------------------------------------------
 
 def fit_explicit(df: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.01, seed: int = 1):
-    return ALS(rank=rank, maxIter=iterations, regParam=reg, userCol="user", itemCol="item", ratingCol="rating",
-               seed=seed, coldStartStrategy="drop").fit(df)
+    return factors.fit(df, rank, iterations, reg, seed=seed)
 
 
 # --- model selection ------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from heronlake.functions.hashing import mixed
-from heronlake.operators import embed, metrics, ml
+from heronlake.operators import embed, factors, metrics, ml
 from heronlake.operators.l1 import fit_l1
 from heronlake.operators.vectors import nearest_all
 from heronlake.plans import oracle as o
@@ -351,7 +351,7 @@ def ml_tvs_grid_metrics(spark, sf_dir):
 def ml_als_explicit_mse(spark, sf_dir):
     rows = reco.ratings(spark, sf_dir)
     model = ml.fit_explicit(rows, iterations=5)
-    both = model.transform(rows)
+    both = factors.score(model, rows)
     return both.agg(F.avg(F.pow(F.col("rating") - F.col("prediction"), F.lit(2.0))).alias("mse"),
                     F.count(F.lit(1)).alias("n"))
 
