@@ -163,31 +163,49 @@ def _users_of(pieces: RDD, groups: int) -> DataFrame:
     return ids.toDF("ids binary, n long").mapInArrow(unpack, "user int")
 
 
-def fit(rows: DataFrame, rank: int, iterations: int, reg: float, alpha: float | None = None, blocks: int = 10, seed: int = 1,
-        groups: int = 3) -> ALSModel:
-    """Spark's model of (user, item, rating): of explicit ratings without `alpha`, of implicit ones with it."""
-    if iterations < 1:
-        raise ValueError("at least one iteration")
-    pieces = grouped(_checked(rows), (USERS, ITEMS), groups)
+def start(pieces: RDD, rank: int, blocks: int, seed: int, groups: int) -> DataFrame:
+    """(id, features): the user factors a fit of `pieces` begins with, the same for any iterations, reg and alpha."""
     # without an iteration Spark's ALS returns the factors it starts from; they follow from the users, their blocks and the seed
     users = _users_of(pieces, groups).select("user", F.pmod("user", F.lit(blocks)).alias("item"), F.lit(1.0).alias("rating"))
-    first = ALS(rank=rank, maxIter=0, seed=seed, userCol="user", itemCol="item", ratingCol="rating", numUserBlocks=blocks,
-                numItemBlocks=blocks).fit(users)
-    mine = as_chunks(first.userFactors)
-    for _ in range(iterations):
+    return ALS(rank=rank, maxIter=0, seed=seed, userCol="user", itemCol="item", ratingCol="rating", numUserBlocks=blocks,
+               numItemBlocks=blocks).fit(users).userFactors
+
+
+def ratings_of(rows: DataFrame, groups: int) -> RDD:
+    """The ratings in pieces of both sides, for `fit_pieces`; kept until they are unpersisted."""
+    return grouped(_checked(rows), (USERS, ITEMS), groups)
+
+
+def fit_pieces(pieces: RDD, first: DataFrame, rank: int, iterations: int, reg: float, alpha: float | None, groups: int) -> ALSModel:
+    """The model of ratings that are in pieces already, from the user factors `first`."""
+    if iterations < 1:
+        raise ValueError("at least one iteration")
+    mine = as_chunks(first)
+    for left in reversed(range(iterations)):
         theirs = _half(mine, pieces, ITEMS, groups, rank, reg, alpha)
+        if not left:  # the last step reads it and so does the model; kept before that step is built on it, or it is solved twice
+            theirs.persist(StorageLevel.MEMORY_AND_DISK)
         mine = _half(theirs, pieces, USERS, groups, rank, reg, alpha)
-    theirs.persist(StorageLevel.MEMORY_AND_DISK)  # the last step reads it and so does the model
     item_factors = settle(as_rows(theirs, rank), "item-factors")
     user_factors = settle(as_rows(mine, rank), "user-factors")
     theirs.unpersist()
-    pieces.unpersist()
-    jvm = rows.sparkSession.sparkContext._jvm
+    jvm = first.sparkSession.sparkContext._jvm
     uid = jvm.org.apache.spark.ml.util.Identifiable.randomUID("als")
     model = ALSModel(jvm.org.apache.spark.ml.recommendation.ALSModel(uid, rank, user_factors._jdf, item_factors._jdf))
     return model._set(userCol="user", itemCol="item", coldStartStrategy="drop")
 
 
+def fit(rows: DataFrame, rank: int, iterations: int, reg: float, alpha: float | None = None, blocks: int = 10, seed: int = 1,
+        groups: int = 3) -> ALSModel:
+    """Spark's model of (user, item, rating): of explicit ratings without `alpha`, of implicit ones with it."""
+    if iterations < 1:
+        raise ValueError("at least one iteration")
+    pieces = ratings_of(rows, groups)
+    model = fit_pieces(pieces, start(pieces, rank, blocks, seed, groups), rank, iterations, reg, alpha, groups)
+    pieces.unpersist()
+    return model
+
+
 # --- scoring ----------------------------------------------------------------------------
 
 def score(model: ALSModel, rows: DataFrame, groups: int = 3) -> DataFrame:
@@ -197,8 +215,18 @@ def score(model: ALSModel, rows: DataFrame, groups: int = 3) -> DataFrame:
     The rows move once, packed, to their user's group, and meet the group's user factors and all item factors there, where two
     joins would send every row along with a vector.
     """
-    rank, kind = model.rank, dict(rows.dtypes)["rating"]
-    pieces = _packed(_checked(rows, kind), (USERS,), groups).partitionBy(groups, place_of).mapPartitions(pieces_of, preservesPartitioning=True)
+    return score_pieces(model, pairs_of(rows, groups), groups, dict(rows.dtypes)["rating"])
+
+
+def pairs_of(rows: DataFrame, groups: int) -> RDD:
+    """The rows in pieces of their users, for `score_pieces`."""
+    kind = dict(rows.dtypes)["rating"]
+    return _packed(_checked(rows, kind), (USERS,), groups).partitionBy(groups, place_of).mapPartitions(pieces_of, preservesPartitioning=True)
+
+
+def score_pieces(model: ALSModel, pieces: RDD, groups: int, kind: str) -> DataFrame:
+    """`score` of rows that are in pieces already; kind is the type of their ratings."""
+    rank = model.rank
 
     def mine(chunk: tuple) -> Iterator[tuple]:
         ids, matrix = together([chunk], rank)

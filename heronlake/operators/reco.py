@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,17 +77,24 @@ def predict_popularity(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
                                       "prediction", F.lit(0.0))
 
 
-def predict_model(model: ALSModel) -> Callable[[DataFrame], DataFrame]:
+def predict_model(model: ALSModel, score: Callable[[ALSModel, DataFrame], DataFrame] = ALSModel.transform) -> Callable[[DataFrame], DataFrame]:
     """Scores of a factor model; pairs with an unknown user or item are dropped."""
-    return lambda pairs: model.transform(pairs).filter(~F.isnan("prediction")).withColumn(
+    return lambda pairs: score(model, pairs).filter(~F.isnan("prediction")).withColumn(
         "prediction", F.col("prediction").cast("double"))
 
 
+#: Blocks and seed of the starting factors; groups of users and of items.
+START, GROUPS = (12, 11), 3
+
+
 def train_implicit(rows: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0,
-                   blocks: int = 12, seed: int = 11) -> ALSModel:
+                   blocks: int = START[0], seed: int = START[1], held: tuple[RDD, DataFrame] | None = None) -> ALSModel:
     """Implicit alternating least squares. The starting factors are those of Spark's ALS with users cut into `blocks`, so
-    their number is an argument and never comes from the cluster."""
-    return factors.fit(rows, rank, iterations, reg, alpha, blocks, seed)
+    their number is an argument and never comes from the cluster. `held` are the rows in pieces and the starting factors, if there
+    are some already."""
+    if held is not None:
+        return factors.fit_pieces(*held, rank, iterations, reg, alpha, GROUPS)
+    return factors.fit(rows, rank, iterations, reg, alpha, blocks, seed, GROUPS)
 
 
 # --- evaluation --------------------------------------------------------------------
@@ -223,18 +231,29 @@ def grid(train: DataFrame, pairs: DataFrame, ranks: Iterable[int], regs: Iterabl
          alphas: Iterable[float], iterations: int = 5) -> list[tuple]:
     """(rank, reg, alpha, auc) for each setting, best first. Only settings loop on the driver.
 
-    `train` and `pairs` are read by every fit: hand in stored tables. What a fit has shuffled and kept is let go after
-    it, so the disk holds about two fits (the last one may still be in Spark's books), whatever the number of settings.
+    `train` and `pairs` move once, to the groups in which all fits solve and score them, and the settings of a rank begin with the
+    same stored factors. What a fit has shuffled and kept is let go after it, so the disk holds about two fits beside them (the last one
+    may still be in Spark's books), whatever the number of settings.
     """
-    found = []
+    spark, found = train.sparkSession, []
+    pieces = factors.ratings_of(train, GROUPS)
+    labels = F.when(F.col("label") > 0, 1).otherwise(0).alias("rating")
+    held = factors.pairs_of(pairs.select("user", "item", labels), GROUPS).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def score(model: ALSModel, _: DataFrame) -> DataFrame:
+        return factors.score_pieces(model, held, GROUPS, "int").withColumnRenamed("rating", "label")
+
     for rank in ranks:
+        first = settle(factors.start(pieces, rank, *START, GROUPS), "start-factors")
         for reg in regs:
             for alpha in alphas:
-                model = train_implicit(train, rank, iterations, reg, alpha)
-                auc = mean_auc(pairs, predict_model(model)).first()["auc"]
+                model = train_implicit(train, rank, iterations, reg, alpha, held=(pieces, first))
+                auc = mean_auc(pairs, predict_model(model, score)).first()["auc"]
                 found.append((rank, reg, alpha, auc))
                 del model
-                let_go(train.sparkSession)
+                let_go(spark)
+    pieces.unpersist()
+    held.unpersist()
     return sorted(found, key=lambda r: -r[3])
 
 

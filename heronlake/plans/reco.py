@@ -264,8 +264,7 @@ def reco_auc_als(spark, sf_dir):
 def reco_grid(spark, sf_dir):
     """AUC of eight settings, best first; the best one is trained on all rows and saved."""
     rows = ratings(spark, sf_dir)
-    train = settle(train_valid(spark, sf_dir)[0], "train")
-    found = ops.grid(train, auc_pairs(spark, sf_dir), (10, 50), (1.0, 0.0001), (1.0, 40.0), iterations=3)
+    found = ops.grid(train_valid(spark, sf_dir)[0], auc_pairs(spark, sf_dir), (10, 50), (1.0, 0.0001), (1.0, 40.0), iterations=3)
     rank, reg, alpha, _ = found[0]
     ops.train_implicit(rows, rank, 3, reg, alpha).write().overwrite().save(fresh_dir(spark, "als-best"))
     return spark.createDataFrame(found, "rank int, reg double, alpha double, auc double")

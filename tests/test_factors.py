@@ -10,7 +10,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from heronlake import session
-from heronlake.operators import factors, packed
+from heronlake.operators import factors, packed, reco
 from heronlake.plans import reco as jobs
 
 CASES = [(None, 1), (None, 3), (1.0, 2), (40.0, 3)]
@@ -101,3 +101,25 @@ def test_model_stores_no_parts(spark, sf_dir):
         assert glob.glob(f"{plays}/*.txt.gz") and not glob.glob(f"{plays}/*.txt")
     finally:
         session._written.update(kept)
+
+
+def test_grid_moves_ratings_and_pairs_once(monkeypatch, spark, rows):
+    """All settings share the ratings, those of one rank their start, and the areas are those of fits for themselves."""
+    calls = []
+    for name in ("grouped", "pairs_of", "start"):
+        own = getattr(factors, name)
+        monkeypatch.setattr(factors, name, lambda *a, _name=name, _own=own: (calls.append(_name), _own(*a))[1])
+    some = rows.filter("rating > 0").withColumn("label", (F.col("rating") > 4).cast("int")).drop("rating")
+    pairs = some.unionByName(spark.createDataFrame([(1, 7, 1), (-60, 8, 0)], "user int, item int, label int"))
+    found = reco.grid(rows, pairs, (2, 3), (0.1, 0.01), (1.0,), iterations=2)
+    assert sorted(calls) == ["grouped", "pairs_of", "start", "start"]
+    for rank, reg, alpha, area in found:
+        model = reco.train_implicit(rows, rank, 2, reg, alpha)
+        assert area == pytest.approx(reco.mean_auc(pairs, reco.predict_model(model)).first()["auc"], abs=1e-12)
+
+
+def test_no_step_is_solved_twice(monkeypatch, spark, rows):
+    solved, own = spark.sparkContext.accumulator(0), factors._half
+    monkeypatch.setattr(factors, "_half", lambda *a: own(*a).map(lambda c: (solved.add(c[2]), c)[1]))
+    model = factors.fit(rows, 2, 2, 0.1, groups=1)
+    assert solved.value == 2 * (model.userFactors.count() + model.itemFactors.count())
