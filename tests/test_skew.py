@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,20 @@ def test_a_value_of_many_lines_is_no_log_record(spark):
 def test_one_name_per_artist(spark):
     lines = spark.createDataFrame([("1\tA",), ("1\tB",), ("2\tC",)], "value string")
     assert sorted(tuple(r) for r in reco_ops.artists(lines).collect()) == [(1, "B"), (2, "C")]
+
+
+def test_nearest_all_moves_no_matrices_for_pairs(spark):
+    """Each task reads the two stored parts it multiplies; a shuffle of all pairs grew with the square of the blocks."""
+    rng = np.random.default_rng(2)
+    ids = [int(i) % 150 for i in rng.permutation(300)]  # repeated ids are no neighbours of themselves
+    vectors = rng.integers(-3, 4, (300, 3)).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "id long, v array<double>").repartition(3)
+    found = nearest_all(df, 4, "id", dim=3, block_rows=40)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and plan.count("Exchange") == 1
+    got = {(r["id"], r["place"]): r["similarity"] for r in found.collect()}
+    unit = [v / np.linalg.norm(v) for v in vectors if v.any()]
+    kept = [i for i, v in zip(ids, vectors) if v.any()]
+    for one in sorted(set(kept)):
+        scores = sorted((float(u @ unit[m]) for m, mine in enumerate(kept) if mine == one for u, i in zip(unit, kept) if i != one), reverse=True)
+        assert [got[one, place] for place in range(1, 5)] == pytest.approx(scores[:4])
