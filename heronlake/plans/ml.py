@@ -350,7 +350,7 @@ def ml_tvs_grid_metrics(spark, sf_dir):
 @job("ml_als_explicit_mse")
 def ml_als_explicit_mse(spark, sf_dir):
     rows = reco.ratings(spark, sf_dir)
-    model = ml.fit_explicit(rows, iterations=5)
+    model = ml.fit_explicit(rows)
     both = factors.score(model, rows)
     return both.agg(F.avg(F.pow(F.col("rating") - F.col("prediction"), F.lit(2.0))).alias("mse"),
                     F.count(F.lit(1)).alias("n"))

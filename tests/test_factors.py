@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from heronlake import session
 from heronlake.operators import factors, packed, reco
+from heronlake.plans import ml as ml_jobs
 from heronlake.plans import reco as jobs
 
 CASES = [(None, 1), (None, 3), (1.0, 2), (40.0, 3)]
@@ -123,3 +124,13 @@ def test_no_step_is_solved_twice(monkeypatch, spark, rows):
     monkeypatch.setattr(factors, "_half", lambda *a: own(*a).map(lambda c: (solved.add(c[2]), c)[1]))
     model = factors.fit(rows, 2, 2, 0.1, groups=1)
     assert solved.value == 2 * (model.userFactors.count() + model.itemFactors.count())
+
+
+def test_explicit_error_is_that_of_ten_iterations(spark, sf_dir):
+    """The job fits as many iterations as the example it follows, not half of them."""
+    rows = jobs.ratings(spark, sf_dir)
+    model = factors.fit(rows, 10, 10, 0.01, seed=1)
+    users, items = by_id(model.userFactors), by_id(model.itemFactors)
+    errors = [(r["rating"] - float(users[r["user"]] @ items[r["item"]])) ** 2 for r in rows.collect()]
+    row = ml_jobs.ml_als_explicit_mse(spark, sf_dir).first()
+    assert row["n"] == len(errors) and row["mse"] == pytest.approx(np.mean(errors), rel=1e-3)
